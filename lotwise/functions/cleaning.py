@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,18 +10,29 @@ from pyspark.sql import functions as F
 from lotwise.functions import fixed
 
 WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+BLANKS = " \t\n\r\x0b\x0c\u00a0"
 DECIMAL_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed a single time per row, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def whole_number(text: Column) -> Column:
     """Bigint of a text that is nothing but a whole number, else NULL."""
-    return F.when(text.rlike(WHOLE_NUMBER), F.trim(text).try_cast("bigint"))
+    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint"))
 
 
 def decimal_number(text: Column) -> Column:
     """Double of a plain decimal text (thousands commas allowed), else NULL."""
     bare = F.replace(text, F.lit(","), F.lit(""))
-    return F.when(bare.rlike(DECIMAL_NUMBER), F.trim(bare).try_cast("double"))
+    return F.when(bare.rlike(DECIMAL_NUMBER), bare.try_cast("double"))
+
+
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def words(text: Column) -> Column:
@@ -45,7 +56,7 @@ def price_from_text(text: Column) -> Column:
 
 def price_or_sentinel(text: Column, on_application: Sequence[str], sentinel: str) -> Column:
     """Parsed euros as text, one spelling for "on application", else the trimmed text."""
-    bare = F.trim(text)
+    bare = strip(text)
     return F.coalesce(
         price_from_text(text).cast("string"),
         F.when(bare.isin(list(on_application)), F.lit(sentinel)).otherwise(bare),
@@ -55,7 +66,7 @@ def price_or_sentinel(text: Column, on_application: Sequence[str], sentinel: str
 def price_status(text: Column, on_application: Sequence[str]) -> Column:
     return (
         F.when(price_from_text(text).isNotNull(), "parsed")
-        .when(F.trim(text).isin(list(on_application)), "on_application")
+        .when(strip(text).isin(list(on_application)), "on_application")
         .when(text.isNotNull(), "other")
     )
 
@@ -85,19 +96,21 @@ def floor_area_m2(
     A range resolves to the end nearer to `median`, the lower one on a tie.
     """
     number = r"([\d,]*\.?\d+)"
-    one = rf"^\s*{number}(m|ft) 2\s*$"
-    two = rf"^\s*{number} - {number}(m|ft) 2\s*$"
-
-    def metres(pattern: str, group: int, unit_group: int) -> Column:
-        value = decimal_number(F.regexp_extract(text, pattern, group))
-        feet = F.regexp_extract(text, pattern, unit_group) == "ft"
-        return F.when(feet, feet_to_m2(value, per_metre)).otherwise(value)
-
-    low, high = metres(two, 1, 3), metres(two, 2, 3)
-    nearer_low = F.abs(F.lit(median) - low) <= F.abs(F.lit(median) - high)
-    return F.when(text.rlike(one), metres(one, 1, 2)).when(
-        text.rlike(two), F.when(nearer_low, low).otherwise(high)
-    )
+    pattern = rf"^\s*{number}(?: - {number})?(m|ft) 2\s*$"
+
+    def square_metres(parts: Column) -> Column:
+        def metres(part: int) -> Column:
+            value = decimal_number(parts[part])
+            return F.when(parts[2] == "ft", feet_to_m2(value, per_metre)).otherwise(value)
+
+        def resolve(ends: Column) -> Column:
+            low, high = ends[0], ends[1]
+            further_low = F.abs(F.lit(median) - low) > F.abs(F.lit(median) - high)
+            return F.when(further_low, high).otherwise(low)
+
+        return once(F.array(metres(0), metres(1)), resolve)
+
+    return once(F.array(*[F.regexp_extract(text, pattern, i) for i in (1, 2, 3)]), square_metres)
 
 
 # --- counties ---------------------------------------------------------------
@@ -115,24 +128,28 @@ def county_from_address(
     vocabulary: Sequence[str] = tuple(fixed.COUNTIES),
 ) -> Column:
     """County named in the comma part of `address` at `position` (negative from the end)."""
-    part = F.try_element_at(F.split(address, ","), F.lit(position))
-    raw = words(part)
-    capped = F.transform(raw, lambda w: F.initcap(w))
-    first = F.try_element_at(capped, F.lit(1))
-    second = F.try_element_at(capped, F.lit(2))
-
-    one = F.when(_is_county(first, vocabulary), first).when(
-        F.lower(first).contains("co."),
-        F.nullif(F.initcap(F.substring(F.try_element_at(raw, F.lit(1)), 4, 1 << 30)), F.lit("")),
-    )
-    two = F.when(
-        _is_county(first, vocabulary),
-        F.when(second.rlike(r"^[+-]?\d+$"), F.concat_ws(" ", first, second)).otherwise(first),
-    ).when(_is_county(second, vocabulary), second)
-    many = F.try_element_at(F.filter(capped, lambda w: _is_county(w, vocabulary)), F.lit(1))
 
-    n = F.size(raw)
-    return F.when(n == 1, one).when(n == 2, two).when(n > 2, many)
+    def pick(raw: Column) -> Column:
+        def pick_capped(capped: Column) -> Column:
+            first, second = (F.try_element_at(capped, F.lit(i)) for i in (1, 2))
+            as_written = F.try_element_at(raw, F.lit(1))
+            one = F.when(_is_county(first, vocabulary), first).when(
+                F.lower(first).contains("co."),
+                F.nullif(F.initcap(F.substring(as_written, 4, 1 << 30)), F.lit("")),
+            )
+            numbered = second.rlike(r"^[+-]?\d+$")
+            two = F.when(
+                _is_county(first, vocabulary),
+                F.when(numbered, F.concat_ws(" ", first, second)).otherwise(first),
+            ).when(_is_county(second, vocabulary), second)
+            counties = F.filter(capped, lambda w: _is_county(w, vocabulary))
+            many = F.try_element_at(counties, F.lit(1))
+            n = F.size(capped)
+            return F.when(n == 1, one).when(n == 2, two).when(n > 2, many)
+
+        return once(F.transform(raw, lambda w: F.initcap(w)), pick_capped)
+
+    return once(words(F.try_element_at(F.split(address, ","), F.lit(position))), pick)
 
 
 def county_either(address: Column, vocabulary: Sequence[str] = tuple(fixed.COUNTIES)) -> Column:
@@ -169,7 +186,7 @@ DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "d/M/yyyy", "d MMM yyyy", "d MMMM yyyy
 
 
 def date_from_text(text: Column, formats: Sequence[str] = tuple(DATE_FORMATS)) -> Column:
-    bare = F.trim(text)
+    bare = strip(text)
     return F.coalesce(*[F.try_to_date(bare, f) for f in formats])
 
 
