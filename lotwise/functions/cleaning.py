@@ -129,27 +129,27 @@ def county_from_address(
 ) -> Column:
     """County named in the comma part of `address` at `position` (negative from the end)."""
 
-    def pick(raw: Column) -> Column:
-        def pick_capped(capped: Column) -> Column:
-            first, second = (F.try_element_at(capped, F.lit(i)) for i in (1, 2))
-            as_written = F.try_element_at(raw, F.lit(1))
-            one = F.when(_is_county(first, vocabulary), first).when(
-                F.lower(first).contains("co."),
-                F.nullif(F.initcap(F.substring(as_written, 4, 1 << 30)), F.lit("")),
-            )
-            numbered = second.rlike(r"^[+-]?\d+$")
-            two = F.when(
-                _is_county(first, vocabulary),
-                F.when(numbered, F.concat_ws(" ", first, second)).otherwise(first),
-            ).when(_is_county(second, vocabulary), second)
-            counties = F.filter(capped, lambda w: _is_county(w, vocabulary))
-            many = F.try_element_at(counties, F.lit(1))
-            n = F.size(capped)
-            return F.when(n == 1, one).when(n == 2, two).when(n > 2, many)
-
-        return once(F.transform(raw, lambda w: F.initcap(w)), pick_capped)
-
-    return once(words(F.try_element_at(F.split(address, ","), F.lit(position))), pick)
+    def marked(raw: Column) -> Column:
+        word = F.initcap(raw)
+        known = _is_county(word, vocabulary)
+        return F.struct(raw.alias("raw"), word.alias("word"), known.alias("known"))
+
+    def pick(tokens: Column) -> Column:
+        first, second = (F.try_element_at(tokens, F.lit(i)) for i in (1, 2))
+        one = F.when(first["known"], first["word"]).when(
+            F.lower(first["raw"]).contains("co."),
+            F.nullif(F.initcap(F.substring(first["raw"], 4, 1 << 30)), F.lit("")),
+        )
+        numbered = F.when(
+            second["raw"].rlike(r"^[+-]?\d+$"), F.concat_ws(" ", first["word"], second["raw"])
+        ).otherwise(first["word"])
+        two = F.when(first["known"], numbered).when(second["known"], second["word"])
+        many = F.try_element_at(F.filter(tokens, lambda t: t["known"]), F.lit(1))["word"]
+        n = F.size(tokens)
+        return F.when(n == 1, one).when(n == 2, two).when(n > 2, many)
+
+    part = F.try_element_at(F.split(address, ","), F.lit(position))
+    return once(F.transform(words(part), marked), pick)
 
 
 def county_either(address: Column, vocabulary: Sequence[str] = tuple(fixed.COUNTIES)) -> Column:
