@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -117,9 +118,8 @@ def floor_area_m2(
 
 
 def _is_county(word: Column, vocabulary: Sequence[str]) -> Column:
-    # The word itself, or the word without its last character (`Galway.`).
-    shorter = F.substring(word, F.lit(1), F.length(word) - 1)
-    return word.isin(list(vocabulary)) | shorter.isin(list(vocabulary))
+    # The word itself, or the word but for its last character (`Galway.`).
+    return word.rlike(f"^({'|'.join(map(re.escape, vocabulary))}).?$")
 
 
 def county_from_address(
@@ -176,18 +176,33 @@ def lookup_key(county: Column, district_county: str = fixed.DISTRICT_COUNTY) ->
 
 
 def county_valid(county: Column, vocabulary: Sequence[str] = tuple(fixed.COUNTIES)) -> Column:
-    return lookup_key(county).isin(list(vocabulary))
+    return lookup_key(county).rlike(f"^({'|'.join(map(re.escape, vocabulary))})$")
 
 
 # --- register fields --------------------------------------------------------
 
-# Date formats, month first before day first.
-DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "d/M/yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy"]
-
+# Shapes of a date text and their formats, month first before day first.
+DATE_FORMATS = {
+    r"^\d{4}-": ["yyyy-MM-dd"],
+    r"^\d+/": ["M/d/yyyy", "d/M/yyyy"],
+    r"^\d+ \w{3} ": ["d MMM yyyy"],
+    r"^\d+ \w{4,} ": ["d MMMM yyyy"],
+    r"^\w{3} \d": ["MMM d, yyyy"],
+}
+
+
+def date_from_text(text: Column, formats: Mapping[str, Sequence[str]] = DATE_FORMATS) -> Column:
+    """Date of a text in one of the formats, else NULL. Only formats of its shape are tried."""
+
+    def parse(bare: Column) -> Column:
+        return F.coalesce(
+            *[
+                F.when(bare.rlike(shape), F.coalesce(*[F.try_to_date(bare, f) for f in tried]))
+                for shape, tried in formats.items()
+            ]
+        )
 
-def date_from_text(text: Column, formats: Sequence[str] = tuple(DATE_FORMATS)) -> Column:
-    bare = strip(text)
-    return F.coalesce(*[F.try_to_date(bare, f) for f in formats])
+    return once(strip(text), parse)
 
 
 def percent_from_text(text: Column) -> Column:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -22,6 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
+MEMO_SIZE = 4096
 UNSEEN_TEXT_TAGS = frozenset(["script", "style", "template"])
 
 CARD_SCHEMA = T.StructType(
@@ -99,104 +99,133 @@ class _Hit:
 
 
 class _Card:
+    __slots__ = ("hits", "n_scopes", "scopes")
+
     def __init__(self) -> None:
         self.hits: list[_Hit] = []
         self.n_scopes = 0
+        self.scopes: list[int] = []  # open ones, innermost last
 
 
 class _Element:
-    __slots__ = ("tag", "card", "hits", "opens_scope", "text_last")
+    __slots__ = ("tag", "hits", "scoped", "n_hits", "n_cards", "text_last")
 
-    def __init__(self, tag: str):
-        self.tag = tag
-        self.card: _Card | None = None
+    def __init__(self, tag: str, n_hits: int, n_cards: int):
+        self.tag, self.n_hits, self.n_cards = tag, n_hits, n_cards
         self.hits: list[_Hit] = []
-        self.opens_scope: list[tuple[_Card, int]] = []
+        self.scoped: list[_Card] = []
         self.text_last = False
 
 
 class CardReader(HTMLParser):
     """Collects cards in document order. Unclosed elements end with their parent."""
 
-    def __init__(self, spec: CardSpec):
+    def __init__(self, spec: CardSpec, memo: dict | None = None):
         super().__init__(convert_charrefs=True)
         self.spec = spec
+        self.memo = {} if memo is None else memo  # (tag, class) -> what it matches
+        self.tags = {a.tag for a in spec.fields.values()} | {spec.card.tag}
+        self.attrs = dict(spec.attrs)
         self.cards: list[_Card] = []
         self.stack: list[_Element] = []
+        self.open_cards: list[_Card] = []
+        self.open_hits: list[_Hit] = []
+        self.n_unseen = 0
+
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # line numbers are of no use here
 
-    def _child_of_top(self, is_text: bool) -> None:
+    def _count_child(self, is_text: bool) -> None:
         if self.stack:
             top = self.stack[-1]
-            if not (is_text and top.text_last):
+            if top.hits and not (is_text and top.text_last):
                 for hit in top.hits:
                     hit.children += 1
             top.text_last = is_text
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        self._child_of_top(False)
-        values = dict(attrs)
-        class_attr = values.get("class")
-        element = _Element(tag)
-        for card in self._open_cards():
-            scope = self._scope_in(card)
-            for name, address in self.spec.fields.items():
-                if address.matches(tag, class_attr):
-                    inside = scope
-                    if name == self.spec.scope:
-                        inside = card.n_scopes
-                        card.n_scopes += 1
-                        element.opens_scope.append((card, inside))
-                    attr = next((values.get(a) for f, a in self.spec.attrs if f == name), None)
-                    hit = _Hit(name, inside, attr)
-                    card.hits.append(hit)
-                    element.hits.append(hit)
-        if self.spec.card.matches(tag, class_attr):
-            element.card = _Card()
-            self.cards.append(element.card)
+        self._count_child(False)
+        element = _Element(tag, len(self.open_hits), len(self.open_cards))
+        if tag in self.tags:
+            self._match(element, dict(attrs))
         if tag not in VOID_TAGS:
             self.stack.append(element)
+            self.n_unseen += tag in UNSEEN_TEXT_TAGS
+        else:
+            self._leave(element)
+
+    def _match(self, element: _Element, values: dict) -> None:
+        is_card, names = self._matches(element.tag, values.get("class"))
+        for card in self.open_cards:
+            inside = card.scopes[-1] if card.scopes else None
+            for name in names:
+                scope = inside
+                if name == self.spec.scope:
+                    scope = card.n_scopes
+                    card.n_scopes += 1
+                    card.scopes.append(scope)
+                    element.scoped.append(card)
+                hit = _Hit(name, scope, values.get(self.attrs.get(name)))
+                card.hits.append(hit)
+                element.hits.append(hit)
+        self.open_hits.extend(element.hits)
+        if is_card:
+            self.cards.append(_Card())
+            self.open_cards.append(self.cards[-1])
+
+    def _matches(self, tag: str, class_attr: str | None) -> tuple[bool, list[str]]:
+        found = self.memo.get((tag, class_attr))
+        if found is None:
+            names = [n for n, a in self.spec.fields.items() if a.matches(tag, class_attr)]
+            found = self.spec.card.matches(tag, class_attr), names
+            if len(self.memo) < MEMO_SIZE:
+                self.memo[tag, class_attr] = found
+        return found
+
+    def _leave(self, element: _Element) -> None:
+        del self.open_hits[element.n_hits :]
+        del self.open_cards[element.n_cards :]
+        for card in element.scoped:
+            card.scopes.pop()
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID_TAGS:
-            self.stack.pop()
+            self._pop()
+
+    def _pop(self) -> None:
+        element = self.stack.pop()
+        self.n_unseen -= element.tag in UNSEEN_TEXT_TAGS
+        self._leave(element)
 
     def handle_endtag(self, tag: str) -> None:
-        for depth in range(len(self.stack) - 1, -1, -1):
-            if self.stack[depth].tag == tag:
-                del self.stack[depth:]
+        stack = self.stack
+        for depth in range(len(stack) - 1, -1, -1):
+            if stack[depth].tag == tag:
+                while len(stack) > depth:
+                    self._pop()
                 return
 
     def handle_data(self, data: str) -> None:
-        self._child_of_top(True)
-        if any(e.tag in UNSEEN_TEXT_TAGS for e in self.stack):
-            return
-        for element in self.stack:
-            for hit in element.hits:
+        self._count_child(True)
+        if not self.n_unseen:
+            for hit in self.open_hits:
                 hit.parts.append(data)
 
     def handle_comment(self, data: str) -> None:
-        self._child_of_top(False)
-
-    def _open_cards(self) -> Iterator[_Card]:
-        return (e.card for e in self.stack if e.card is not None)
-
-    def _scope_in(self, card: _Card) -> int | None:
-        for element in reversed(self.stack):
-            for owner, number in element.opens_scope:
-                if owner is card:
-                    return number
-        return None
+        self._count_child(False)
 
 
 def cards_function(spec: CardSpec):
     """Table function html -> (card_no, hits), for use with `lateralJoin`."""
 
+    memo: dict = {}
+
     class Cards:
         def eval(self, html: str):
             if html is None:
                 return
-            reader = CardReader(spec)
+            reader = CardReader(spec, memo)
             reader.feed(html)
             reader.close()
             for number, card in enumerate(reader.cards):

@@ -10,26 +10,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.operators.staging import stage
 
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
-STATS = ["count", "mean", "std", "min", *QUARTILES, "max"]
 
+# Grows with the value: its sign times its decimal exponent, shifted above zero.
+MAGNITUDE = """CASE WHEN value = 0 THEN 0 ELSE cast(signum(value) AS bigint)
+    * (least(greatest(floor(log10(abs(value))), -300), 305) + 400) END"""
+# The lower edge of three significant digits.
+ANCHOR = """CASE WHEN value = 0 THEN 0D ELSE
+    floor(value / pow(10D, abs(magnitude) - 402)) * pow(10D, abs(magnitude) - 402) END"""
 
-def _magnitude(value: Column) -> Column:
-    # Grows with the value: sign times (decimal exponent, shifted above zero).
-    exponent = F.floor(F.log10(F.abs(value)))
-    exponent = F.greatest(F.least(exponent, F.lit(305)), F.lit(-300)) + 400
-    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value).cast("bigint") * exponent)
 
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
 
-def _anchor(value: Column, magnitude: Column) -> Column:
-    # Lower edge of the bucket; 0 for zero itself.
-    width = F.pow(F.lit(10.0), F.abs(magnitude) - 402)
-    return F.when(value == 0, F.lit(0.0)).otherwise(F.floor(value / width) * width)
+
+def _aggregates(**expressions: str) -> list:
+    return [F.expr(e).alias(name) for name, e in expressions.items()]
 
 
 def describe_long(
@@ -44,90 +45,84 @@ def describe_long(
     key are left out.
     """
     group = [*keys, "measure"]
+    bucket = [*group, "magnitude", "anchor"]
+    by_group, by_bucket = ", ".join(_quoted(group)), ", ".join(_quoted(bucket))
+
+    keyed = df.dropna(subset=list(keys)) if keys else df
     long = (
-        (df.dropna(subset=list(keys)) if keys else df)
-        .select(*keys, *[F.col(m).cast("double").alias(m) for m in measures])
-        .unpivot(list(keys), list(measures), "measure", "value")
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
+        keyed.selectExpr(*_quoted(keys), *[f"cast(`{m}` AS double) AS `{m}`" for m in measures])
+        .unpivot(_quoted(keys), _quoted(measures), "measure", "value")
+        .filter("value IS NOT NULL AND NOT isnan(value)")
     )
     per_value = stage(
-        long.groupBy(*group, "value")
-        .agg(F.count("*").alias("n"))
-        .withColumn("magnitude", _magnitude(F.col("value")))
-        .withColumn("anchor", _anchor(F.col("value"), F.col("magnitude"))),
+        long.groupBy(*_quoted(group), "value")
+        .agg(*_aggregates(n="count(*)"))
+        .selectExpr("*", f"{MAGNITUDE} AS magnitude")
+        .selectExpr("*", f"{ANCHOR} AS anchor"),
         "per-value",
     )
-    bucket = [*group, "magnitude", "anchor"]
-    offset = F.col("value") - F.col("anchor")
     buckets = stage(
-        per_value.groupBy(*bucket).agg(
-            F.sum("n").alias("n"),
-            F.sum(F.col("n") * offset).alias("s1"),
-            F.sum(F.col("n") * offset * offset).alias("s2"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
+        per_value.groupBy(*_quoted(bucket)).agg(
+            *_aggregates(
+                n="sum(n)",
+                s1="sum(n * (value - anchor))",
+                s2="sum(n * pow(value - anchor, 2))",
+                low="min(value)",
+                high="max(value)",
+            )
         ),
         "buckets",
     )
 
-    in_order = Window.partitionBy(*group).orderBy("magnitude", "anchor")
-    whole = Window.partitionBy(*group)
-    bucket_mean = F.col("anchor") + F.col("s1") / F.col("n")
-    placed = buckets.select(
-        *bucket,
-        "n", "s1", "s2", "low", "high",
-        F.sum("n").over(whole).alias("total"),
-        (F.sum("n").over(in_order) - F.col("n")).alias("before"),
-        (F.sum(bucket_mean * F.col("n")).over(whole) / F.sum("n").over(whole)).alias("mean"),
-    )
-    between = bucket_mean - F.col("mean")
-    within = F.greatest(F.lit(0.0), F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"))
-    moments = placed.groupBy(*group).agg(
-        F.max("total").alias("count"),
-        F.max("mean").alias("mean"),
-        F.sum(within + F.col("n") * between * between).alias("squares"),
-        F.min("low").alias("min"),
-        F.max("high").alias("max"),
+    placed = buckets.selectExpr(
+        "*",
+        f"sum(n) OVER (PARTITION BY {by_group}) AS total",
+        f"sum(n) OVER (PARTITION BY {by_group} ORDER BY magnitude, anchor) - n AS before",
+        f"sum(anchor * n + s1) OVER (PARTITION BY {by_group})"
+        f" / sum(n) OVER (PARTITION BY {by_group}) AS mean",
     )
-
-    def rank(p: float) -> Column:
-        return F.lit(p) * (F.col("total") - 1)
-
-    ranks = [edge(rank(p)) for p in quantiles.values() for edge in (F.floor, F.ceil)]
-    holds_rank = F.lit(False)
-    for r in ranks:
-        holds_rank = holds_rank | (
-            (r >= F.col("before")) & (r < F.col("before") + F.col("n"))
+    moments = placed.groupBy(*_quoted(group)).agg(
+        *_aggregates(
+            count="max(total)",
+            mean="max(mean)",
+            squares="sum(greatest(0D, s2 - s1 * s1 / n) + n * pow(anchor + s1 / n - mean, 2))",
+            min="min(low)",
+            max="max(high)",
         )
-    wanted = placed.filter(holds_rank).select(*bucket, "total", "before")
+    )
 
-    by_value = Window.partitionBy(*bucket).orderBy("value")
-    ranked = (
-        per_value.join(wanted, bucket)
-        .withColumn("upto", F.col("before") + F.sum("n").over(by_value))
-        .withColumn("from", F.col("upto") - F.col("n"))
+    rank = {name: f"({float(p)}D * (total - 1))" for name, p in quantiles.items()}
+    ranks = ", ".join(f"floor({r}), ceil({r})" for r in rank.values())
+    wanted = placed.filter(
+        f"exists(array({ranks}), r -> r >= before AND r < before + n)"
+    ).selectExpr(*_quoted(bucket), "total", "before")
+    ranked = per_value.join(wanted, bucket).selectExpr(
+        *_quoted(group),
+        "value",
+        "n",
+        "total",
+        f"before + sum(n) OVER (PARTITION BY {by_bucket} ORDER BY value) AS upto",
     )
 
-    def at(r: Column) -> Column:
-        return F.max(F.when((r >= F.col("from")) & (r < F.col("upto")), F.col("value")))
-
-    picked = ranked.groupBy(*group).agg(
-        *[
-            (
-                at(F.floor(rank(p)))
-                + (at(F.ceil(rank(p))) - at(F.floor(rank(p))))
-                * F.max(rank(p) - F.floor(rank(p)))
-            ).alias(name)
-            for name, p in quantiles.items()
-        ]
+    def at(r: str) -> str:
+        return f"max(CASE WHEN {r} >= upto - n AND {r} < upto THEN value END)"
+
+    picked = ranked.groupBy(*_quoted(group)).agg(
+        *_aggregates(
+            **{
+                name: f"{at(f'floor({r})')} + ({at(f'ceil({r})')} - {at(f'floor({r})')})"
+                f" * max({r} - floor({r}))"
+                for name, r in rank.items()
+            }
+        )
     )
-    return moments.join(picked, group).select(
-        *group,
+    return moments.join(picked, group).selectExpr(
+        *_quoted(group),
         "count",
         "mean",
-        F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std"),
+        "CASE WHEN count > 1 THEN sqrt(squares / (count - 1)) END AS std",
         "min",
-        *quantiles,
+        *_quoted(list(quantiles)),
         "max",
     )
 
@@ -141,12 +136,14 @@ def describe_groups(
     """One row per group, statistics flattened to `<measure>_<stat>`."""
     long = describe_long(df, keys, measures, quantiles)
     stats = [c for c in long.columns if c not in (*keys, "measure")]
-    return long.groupBy(*keys).agg(
-        *[
-            F.max(F.when(F.col("measure") == m, F.col(s))).alias(f"{m}_{s}")
-            for m in measures
-            for s in stats
-        ]
+    return long.groupBy(*_quoted(keys)).agg(
+        *_aggregates(
+            **{
+                f"{m}_{s}": f"max(CASE WHEN measure = '{m}' THEN `{s}` END)"
+                for m in measures
+                for s in stats
+            }
+        )
     )
 
 
@@ -158,19 +155,19 @@ def describe_groups_approx(
     accuracy: int = 10000,
 ) -> DataFrame:
     """`describe_groups` in one pass; quantiles are values within a rank error of 1/accuracy."""
-    aggregates = []
+    aggregates = {}
     for m in measures:
-        value = F.col(m).cast("double")
-        aggregates += [
-            F.count(value).alias(f"{m}_count"),
-            F.avg(value).alias(f"{m}_mean"),
-            F.stddev_samp(value).alias(f"{m}_std"),
-            F.min(value).alias(f"{m}_min"),
-            *[
-                F.percentile_approx(value, p, accuracy).alias(f"{m}_{name}")
+        value = f"cast(`{m}` AS double)"
+        aggregates |= {
+            f"{m}_count": f"count({value})",
+            f"{m}_mean": f"avg({value})",
+            f"{m}_std": f"stddev_samp({value})",
+            f"{m}_min": f"min({value})",
+            **{
+                f"{m}_{name}": f"percentile_approx({value}, {float(p)}D, {accuracy})"
                 for name, p in quantiles.items()
-            ],
-            F.max(value).alias(f"{m}_max"),
-        ]
-    kept = df.dropna(subset=list(keys)) if keys else df
-    return kept.groupBy(*keys).agg(*aggregates)
+            },
+            f"{m}_max": f"max({value})",
+        }
+    keyed = df.dropna(subset=list(keys)) if keys else df
+    return keyed.groupBy(*_quoted(keys)).agg(*_aggregates(**aggregates))

@@ -29,8 +29,8 @@ def _text(column: Column) -> Column:
 
 
 def nth(values: list[str], number: Column) -> Column:
-    index = (number % len(values) + 1).cast("int")
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index)
+    quoted = ", ".join(f"'{v}'" for v in values)
+    return F.element_at(F.expr(f"array({quoted})"), (number % len(values) + 1).cast("int"))
 
 
 def cases(number: Column, branches: list[Column]) -> Column:
