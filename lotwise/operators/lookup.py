@@ -33,8 +33,11 @@ def add_province(df: DataFrame, dim: DataFrame | None = None, county: str = "Cou
 
 
 def exclude_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    """Rows whose `column` is not among `keys`. NULLs go too, once there are any keys."""
-    side = keys.select(F.col(column).alias("_excluded")).dropna().distinct()
+    """Rows whose `column` is not among `keys`. NULLs go too, once there are any keys.
+
+    `keys` is read twice: stage it when it is costly to compute.
+    """
+    side = keys.select(F.col(column).alias("_excluded")).dropna()
     kept = df.join(side, F.col(column) == F.col("_excluded"), "left_anti")
     return kept.dropna(subset=[column]) if side.take(1) else kept
 

@@ -20,9 +20,9 @@ QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 # Grows with the value: its sign times its decimal exponent, shifted above zero.
 MAGNITUDE = """CASE WHEN value = 0 THEN 0 ELSE cast(signum(value) AS bigint)
     * (least(greatest(floor(log10(abs(value))), -300), 305) + 400) END"""
-# The lower edge of three significant digits.
+# The lower edge of four significant digits.
 ANCHOR = """CASE WHEN value = 0 THEN 0D ELSE
-    floor(value / pow(10D, abs(magnitude) - 402)) * pow(10D, abs(magnitude) - 402) END"""
+    floor(value / pow(10D, abs(magnitude) - 403)) * pow(10D, abs(magnitude) - 403) END"""
 
 
 def _quoted(names: Sequence[str]) -> list[str]:

@@ -33,3 +33,14 @@ def assign_where(df: DataFrame, condition: Column, values: dict[str, object]) ->
     return df.withColumns(
         {c: F.when(condition, F.lit(v)).otherwise(F.col(c)) for c, v in values.items()}
     )
+
+
+def with_required(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`df` with `value` as `name`, without the rows where it is NULL.
+
+    A filter on the new column would be pushed below the projection and compute
+    a costly expression a second time; exploding zero or one values does not.
+    """
+    found = F.filter(F.array(value), lambda v: v.isNotNull())
+    columns = [F.col(f"`{c}`") for c in df.columns if c != name]
+    return df.select(*columns, F.explode(found).alias(name))

@@ -11,7 +11,7 @@ from lotwise import schemas
 from lotwise.functions import cleaning, fixed
 from lotwise.functions.html_cards import Address, CardSpec
 from lotwise.operators import dedup, explore, extract, groups, lookup, profile, quantiles, relabel
-from lotwise.operators.staging import scratch_path
+from lotwise.operators.staging import scratch_path, stage
 from lotwise.plans import pipelines
 from lotwise.plans import renditions as r
 from lotwise.sources import files, frontier
@@ -262,7 +262,7 @@ def fold_small_groups(spark, sf):
 def exclude_small_groups(spark, sf):
     customers = _customer_nations(spark, sf)
     small = groups.small_groups(customers, "nation", _mean_group(spark, sf))
-    return lookup.exclude_keys(customers, small, "nation")
+    return lookup.exclude_keys(customers, stage(small, "small-groups"), "nation")
 
 
 @register

@@ -10,45 +10,38 @@ from lotwise import schemas
 from lotwise.functions import cleaning, fixed
 from lotwise.operators import dedup, explore, extract, groups, profile, quantiles, relabel
 from lotwise.operators.lookup import add_province
+from lotwise.operators.staging import stage
 from lotwise.sources.files import null_tokens, read_extract, write_table
 
 
 def clean_portal_a(raw: DataFrame, counties: DataFrame | None = None) -> DataFrame:
     """Typed price, county, province; sites have no beds and no baths. Row-local."""
-    located = raw.withColumns(
-        {
-            "Price": cleaning.price_to_int(F.col("Price")),
-            "County": cleaning.county_from_address(F.col("Address")),
-        }
-    ).dropna(subset=["County"])
+    located = relabel.with_required(
+        raw.withColumn("Price", cleaning.price_to_int(F.col("Price"))),
+        "County",
+        cleaning.county_from_address(F.col("Address")),
+    )
     site = F.col("Property_type") == fixed.SITE_TYPE
     return relabel.assign_where(add_province(located, counties), site, {"Bed": 0.0, "Bath": 0.0})
 
 
 def clean_portal_b(raw: DataFrame, counties: DataFrame | None = None) -> DataFrame:
     """Typed price and floor area, county, province. Row-local."""
-    located = (
-        null_tokens(raw)
-        .dropna(subset=["Address"])
-        .withColumns(
-            {
-                "Price": cleaning.price_to_int(F.col("Price")),
-                "floor_area": cleaning.floor_area_m2(F.col("floor_area")),
-                "County": cleaning.strip_county_mark(
-                    cleaning.county_from_address(F.col("Address"))
-                ),
-            }
-        )
-        .dropna(subset=["County"])
+    addressed = null_tokens(raw).dropna(subset=["Address"])
+    typed = addressed.withColumns(
+        {
+            "Price": cleaning.price_to_int(F.col("Price")),
+            "floor_area": cleaning.floor_area_m2(F.col("floor_area")),
+        }
     )
+    county = cleaning.strip_county_mark(cleaning.county_from_address(F.col("Address")))
+    located = relabel.with_required(typed, "County", county)
     return add_province(located, counties)
 
 
 def clean_sold(raw: DataFrame, counties: DataFrame | None = None) -> DataFrame:
     """First row per address. The county hangs on the address alone, so rows without one go first."""
-    located = raw.withColumn("County", cleaning.county_either(F.col("Address"))).dropna(
-        subset=["County"]
-    )
+    located = relabel.with_required(raw, "County", cleaning.county_either(F.col("Address")))
     first = dedup.keep_first(located, ["Address"], ["src_row"])
     return add_province(relabel.relabel(first, "County", fixed.SOLD_COUNTY_PATCH), counties)
 
@@ -58,7 +51,7 @@ def clean_change(
 ) -> DataFrame:
     """`latest` keeps the first row per address, `history` every change of a home."""
     county = cleaning.strip_county_mark(cleaning.county_either(F.col("Address")))
-    located = raw.withColumn("County", county).dropna(subset=["County"])
+    located = relabel.with_required(raw, "County", county)
     if mode == "latest":
         located = dedup.keep_first(located, ["Address"], ["src_row"])
     elif mode != "history":
@@ -103,7 +96,10 @@ def explorer(listings: DataFrame, **choices) -> DataFrame:
 def combine_and_fold(
     portal_a: DataFrame, portal_b: DataFrame, below: int = fixed.SMALL_GROUP
 ) -> DataFrame:
-    """Both portals without repeats, small districts folded, other small counties removed."""
+    """Both portals without repeats, small districts folded, other small counties removed.
+
+    The unique rows are staged, as counting the groups and folding them both read them.
+    """
     names_a = {"floor_area_m2": "Floor_area"}
     names_b = {"beds": "Bed", "baths": "Bath", "floor_area": "Floor_area"}
 
@@ -118,7 +114,8 @@ def combine_and_fold(
         ["Bed", "Bath", "Floor_area", "Price", "Property_type", "County"],
         ["source", "src_row"],
     )
-    return groups.fold_small_groups(unique.drop("source", "src_row"), below=below)
+    staged = stage(unique.drop("source", "src_row"), "unique-listings")
+    return groups.fold_small_groups(staged, below=below)
 
 
 def profile_extract(raw: DataFrame) -> dict[str, DataFrame]:
