@@ -74,57 +74,52 @@ def describe_long(
         "buckets",
     )
 
+    whole = f"OVER (PARTITION BY {by_group})"
     placed = buckets.selectExpr(
         "*",
-        f"sum(n) OVER (PARTITION BY {by_group}) AS total",
         f"sum(n) OVER (PARTITION BY {by_group} ORDER BY magnitude, anchor) - n AS before",
-        f"sum(anchor * n + s1) OVER (PARTITION BY {by_group})"
-        f" / sum(n) OVER (PARTITION BY {by_group}) AS mean",
-    )
-    moments = placed.groupBy(*_quoted(group)).agg(
-        *_aggregates(
-            count="max(total)",
-            mean="max(mean)",
-            squares="sum(greatest(0D, s2 - s1 * s1 / n) + n * pow(anchor + s1 / n - mean, 2))",
-            min="min(low)",
-            max="max(high)",
-        )
+        f"sum(n) {whole} AS count",
+        f"sum(anchor * n + s1) {whole} / sum(n) {whole} AS mean",
+        f"min(low) {whole} AS min",
+        f"max(high) {whole} AS max",
+    ).selectExpr(
+        "*",
+        f"sum(greatest(0D, s2 - s1 * s1 / n) + n * pow(anchor + s1 / n - mean, 2)) {whole}"
+        " AS squares",
     )
 
-    rank = {name: f"({float(p)}D * (total - 1))" for name, p in quantiles.items()}
+    rank = {name: f"({float(p)}D * (count - 1))" for name, p in quantiles.items()}
     ranks = ", ".join(f"floor({r}), ceil({r})" for r in rank.values())
     wanted = placed.filter(
         f"exists(array({ranks}), r -> r >= before AND r < before + n)"
-    ).selectExpr(*_quoted(bucket), "total", "before")
+    ).selectExpr(
+        *_quoted(bucket),
+        "before",
+        "count",
+        "mean",
+        "CASE WHEN count > 1 THEN sqrt(squares / (count - 1)) END AS std",
+        "min",
+        "max",
+    )
     ranked = per_value.join(wanted, bucket).selectExpr(
-        *_quoted(group),
-        "value",
-        "n",
-        "total",
-        f"before + sum(n) OVER (PARTITION BY {by_bucket} ORDER BY value) AS upto",
+        "*", f"before + sum(n) OVER (PARTITION BY {by_bucket} ORDER BY value) AS upto"
     )
 
     def at(r: str) -> str:
         return f"max(CASE WHEN {r} >= upto - n AND {r} < upto THEN value END)"
 
-    picked = ranked.groupBy(*_quoted(group)).agg(
+    def quantile(r: str) -> str:
+        low, high = at(f"floor({r})"), at(f"ceil({r})")
+        return f"{low} + ({high} - {low}) * max({r} - floor({r}))"
+
+    # The statistics of a group are on all its rows; max takes them from any.
+    return ranked.groupBy(*_quoted(group)).agg(
         *_aggregates(
-            **{
-                name: f"{at(f'floor({r})')} + ({at(f'ceil({r})')} - {at(f'floor({r})')})"
-                f" * max({r} - floor({r}))"
-                for name, r in rank.items()
-            }
+            **{stat: f"max(`{stat}`)" for stat in ("count", "mean", "std", "min")},
+            **{name: quantile(r) for name, r in rank.items()},
+            max="max(`max`)",
         )
     )
-    return moments.join(picked, group).selectExpr(
-        *_quoted(group),
-        "count",
-        "mean",
-        "CASE WHEN count > 1 THEN sqrt(squares / (count - 1)) END AS std",
-        "min",
-        *_quoted(list(quantiles)),
-        "max",
-    )
 
 
 def describe_groups(
@@ -136,6 +131,8 @@ def describe_groups(
     """One row per group, statistics flattened to `<measure>_<stat>`."""
     long = describe_long(df, keys, measures, quantiles)
     stats = [c for c in long.columns if c not in (*keys, "measure")]
+    if len(measures) == 1:
+        return long.drop("measure").withColumnsRenamed({s: f"{measures[0]}_{s}" for s in stats})
     return long.groupBy(*_quoted(keys)).agg(
         *_aggregates(
             **{
