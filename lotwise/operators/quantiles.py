@@ -39,7 +39,8 @@ def describe_long(
     measures: Sequence[str],
     quantiles: dict[str, float] = QUARTILES,
 ) -> DataFrame:
-    """One row per (keys, measure): count, mean, std, min, quantiles, max. NULLs and NaNs ignored.
+    """One row per (keys, measure): count, mean, std, min, quantiles, max. NULLs and NaNs ignored;
+    a group of nothing else has the count 0.
 
     Quantiles interpolate linearly between neighbouring ranks. Rows with a NULL
     key are left out.
@@ -52,11 +53,11 @@ def describe_long(
     long = (
         keyed.selectExpr(*_quoted(keys), *[f"cast(`{m}` AS double) AS `{m}`" for m in measures])
         .unpivot(_quoted(keys), _quoted(measures), "measure", "value")
-        .filter("value IS NOT NULL AND NOT isnan(value)")
+        .withColumn("value", F.expr("nullif(value, 'NaN')"))
     )
     per_value = stage(
         long.groupBy(*_quoted(group), "value")
-        .agg(*_aggregates(n="count(*)"))
+        .agg(*_aggregates(n="count(value)"))
         .selectExpr("*", f"{MAGNITUDE} AS magnitude")
         .selectExpr("*", f"{ANCHOR} AS anchor"),
         "per-value",
@@ -79,13 +80,13 @@ def describe_long(
         "*",
         f"sum(n) OVER (PARTITION BY {by_group} ORDER BY magnitude, anchor) - n AS before",
         f"sum(n) {whole} AS count",
-        f"sum(anchor * n + s1) {whole} / sum(n) {whole} AS mean",
+        f"sum(anchor * n + s1) {whole} / nullif(sum(n) {whole}, 0) AS mean",
         f"min(low) {whole} AS min",
         f"max(high) {whole} AS max",
     ).selectExpr(
         "*",
-        f"sum(greatest(0D, s2 - s1 * s1 / n) + n * pow(anchor + s1 / n - mean, 2)) {whole}"
-        " AS squares",
+        f"sum(CASE WHEN n > 0 THEN greatest(0D, s2 - s1 * s1 / n)"
+        f" + n * pow(anchor + s1 / n - mean, 2) END) {whole} AS squares",
     )
 
     rank = {name: f"({float(p)}D * (count - 1))" for name, p in quantiles.items()}
@@ -113,13 +114,16 @@ def describe_long(
         return f"{low} + ({high} - {low}) * max({r} - floor({r}))"
 
     # The statistics of a group are on all its rows; max takes them from any.
-    return ranked.groupBy(*_quoted(group)).agg(
+    valued = ranked.groupBy(*_quoted(group)).agg(
         *_aggregates(
             **{stat: f"max(`{stat}`)" for stat in ("count", "mean", "std", "min")},
             **{name: quantile(r) for name, r in rank.items()},
             max="max(`max`)",
         )
     )
+    missing = [f"cast(NULL AS double) AS `{c}`" for c in valued.columns[len(group) + 1 :]]
+    valueless = placed.filter("count = 0").selectExpr(*_quoted(group), "count", *missing)
+    return valued.union(valueless)
 
 
 def describe_groups(
