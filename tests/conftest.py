@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__)))]
+_here = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(_here), _here]
 
 from lotwise.session import builder  # noqa: E402
 
@@ -15,6 +16,7 @@ def spark():
         .master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -30,9 +30,8 @@ def _rows(columns, rows):
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-def differences(spark, con, query, sql: str, sf_dir: str) -> list[str]:
+def differences(df, con, sql: str) -> list[str]:
     """Empty when names, types and values agree."""
-    df = query(spark, sf_dir)
     expected = con.execute(sql)
     names = [d[0] for d in expected.description]
     want = _rows(names, expected.fetchall())
