@@ -181,7 +181,7 @@ def county_valid(county: Column, vocabulary: Sequence[str] = tuple(fixed.COUNTIE
 
 # --- register fields --------------------------------------------------------
 
-# Shapes of a date text and their formats, month first before day first.
+# Shapes of a date text and their formats, month first before day first.
 DATE_FORMATS = {
     r"^\d{4}-": ["yyyy-MM-dd"],
     r"^\d+/": ["M/d/yyyy", "d/M/yyyy"],

@@ -20,6 +20,11 @@ def smallest_groups(df: DataFrame, key: str, k: int = 5) -> DataFrame:
     return group_counts(df, key).orderBy("count", key).limit(k)
 
 
+def first_rows(df: DataFrame, *order: str, n: int = 20) -> DataFrame:
+    """A preview: the first n rows in order. The one way rows should reach the driver."""
+    return df.orderBy(*order).limit(n)
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, most frequent first, NULL left out."""
     return group_counts(df.dropna(subset=[column]), column).orderBy(F.desc("count"), column)

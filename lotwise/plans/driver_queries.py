@@ -68,11 +68,7 @@ def lineitem_measure_stats(spark, sf):
 @register
 def regional_stats(spark, sf):
     """Statistics of all listing measures per province and county."""
-    listings = pipelines.build_all_listings(
-        pipelines.clean_portal_a(r.portal_a_raw(spark, sf)),
-        pipelines.clean_portal_b(r.portal_b_raw(spark, sf)),
-    )
-    stats = pipelines.regional_stats(listings)
+    stats = pipelines.regional_stats(_all_listings(spark, sf))
     return rounded(
         stats.select(
             "Province",
@@ -275,6 +271,21 @@ def bottom_k_groups(spark, sf):
     return groups.smallest_groups(_customer_nations(spark, sf), "nation", 5)
 
 
+@register
+def preview_rows(spark, sf):
+    orders = r.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return groups.first_rows(orders, "o_totalprice", "o_orderkey")
+
+
+@register
+def lookup_last_wins(spark, sf):
+    """Of the suppliers of a nation the last one is its entry in the lookup."""
+    suppliers = r.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey", "s_name")
+    dim = lookup.last_wins(suppliers, "s_nationkey", "s_name", "s_suppkey")
+    customers = r.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    return lookup.lookup_left(customers, dim, F.col("c_nationkey"), "s_nationkey", "s_name")
+
+
 @register
 def value_counts(spark, sf):
     priority = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
@@ -392,6 +403,26 @@ def scatter_axis(spark, sf):
     return explore.scatter_axis(_lineitem_listings(spark, sf), "Baths", "Price", 50000)
 
 
+def _all_listings(spark, sf):
+    return pipelines.build_all_listings(
+        pipelines.clean_portal_a(r.portal_a_raw(spark, sf)),
+        pipelines.clean_portal_b(r.portal_b_raw(spark, sf)),
+    )
+
+
+@register
+def explore_listings(spark, sf):
+    """The explorer over the combined listings; they are staged, as rows and number both read them."""
+    bounds = {"Beds": (1, 6), "Baths": (0, 4), "Price": (0, 600000), "Floor_area": (0, 150)}
+    listings = stage(_all_listings(spark, sf), "all-listings")
+    return pipelines.explorer(listings, bounds=bounds, category="House", x_axis="Number of beds")
+
+
+@register
+def scatter_listings(spark, sf):
+    return pipelines.scatter_data(_all_listings(spark, sf), "Floor_area")[0]
+
+
 # --- profiles ---------------------------------------------------------------
 
 
@@ -521,10 +552,7 @@ def clean_change_history(spark, sf):
 
 @register
 def build_all_listings(spark, sf):
-    return pipelines.build_all_listings(
-        pipelines.clean_portal_a(r.portal_a_raw(spark, sf)),
-        pipelines.clean_portal_b(r.portal_b_raw(spark, sf)),
-    )
+    return _all_listings(spark, sf)
 
 
 @register

@@ -335,6 +335,14 @@ SQL: dict[str, str] = {
         SELECT n_name AS nation, count(*) AS "count"
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
         GROUP BY 1 ORDER BY 2, 1 LIMIT 5""",
+    "preview_rows": """
+        SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+        ORDER BY o_totalprice, o_orderkey LIMIT 20""",
+    "lookup_last_wins": """
+        SELECT c_custkey, c_nationkey, s_name FROM customer LEFT JOIN (
+            SELECT s_nationkey, s_name FROM supplier
+            QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey DESC) = 1)
+        ON c_nationkey = s_nationkey""",
     "value_counts": """
         SELECT o_orderpriority AS priority, count(*) AS "count" FROM orders
         WHERE o_orderpriority <> '5-LOW' GROUP BY 1 ORDER BY 2 DESC, 1""",
@@ -373,6 +381,14 @@ SQL: dict[str, str] = {
     "scatter_axis": """
         SELECT l_quantity::VARCHAR AS x FROM lineitem WHERE l_extendedprice < 50000
         GROUP BY l_quantity ORDER BY l_quantity""",
+    "explore_listings": f"""
+        SELECT Beds AS x, Price AS y, Price, Property_type, County, count(*) OVER () AS n_selected
+        FROM ({ALL_LISTINGS})
+        WHERE Beds >= 1 AND Beds <= 6 AND Baths >= 0 AND Baths <= 4 AND Price >= 0
+          AND Price <= 600000 AND Floor_area >= 0 AND Floor_area <= 150
+          AND Property_Category = 'House'""",
+    "scatter_listings": f"""
+        SELECT Floor_area AS x, Price AS y FROM ({ALL_LISTINGS}) WHERE Floor_area < 2000""",
     "profile_nulls": _per_column(NULLED_EVENTS, EVENT_TYPES, "'{t}' AS dtype, count({c}) AS non_null"),
     "profile_nunique": _per_column(NULLED_EVENTS, EVENT_TYPES, "count(DISTINCT {c}) AS n_unique"),
     "profile_describe": _per_column(
