@@ -209,8 +209,9 @@ ORDER_TEXTS = {"o_orderstatus": "string", "o_orderdate": "timestamp", "o_orderpr
 
 
 def _text(html: str) -> str:
-    for entity, character in {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "''", "&amp;": "&"}.items():
-        html = f"replace({html}, '{entity}', '{character}')"
+    # These references count with and without their semicolon.
+    for entity, character in {"&lt": "<", "&gt": ">", "&quot": '"', "&#39": "''", "&amp": "&"}.items():
+        html = f"regexp_replace({html}, '{entity};?', '{character}', 'g')"
     return html
 
 
