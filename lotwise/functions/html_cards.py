@@ -112,8 +112,8 @@ class _Element:
 
     def __init__(self, tag: str, n_hits: int, n_cards: int):
         self.tag, self.n_hits, self.n_cards = tag, n_hits, n_cards
-        self.hits: list[_Hit] = []
-        self.scoped: list[_Card] = []
+        self.hits: list[_Hit] | tuple = ()
+        self.scoped: list[_Card] | tuple = ()
         self.text_last = False
 
 
@@ -136,43 +136,52 @@ class CardReader(HTMLParser):
         return j  # line numbers are of no use here
 
     def _count_child(self, is_text: bool) -> None:
+        # Only elements that are hits have their children counted.
         if self.stack:
             top = self.stack[-1]
-            if top.hits and not (is_text and top.text_last):
-                for hit in top.hits:
-                    hit.children += 1
-            top.text_last = is_text
+            if top.hits:
+                if not (is_text and top.text_last):
+                    for hit in top.hits:
+                        hit.children += 1
+                top.text_last = is_text
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        self._count_child(False)
+        if self.open_hits:
+            self._count_child(False)
         element = _Element(tag, len(self.open_hits), len(self.open_cards))
         if tag in self.tags:
             self._match(element, dict(attrs))
-        if tag not in VOID_TAGS:
-            self.stack.append(element)
-            self.n_unseen += tag in UNSEEN_TEXT_TAGS
-        else:
+        if tag in VOID_TAGS:
             self._leave(element)
+            return
+        self.stack.append(element)
+        if tag in UNSEEN_TEXT_TAGS:
+            self.n_unseen += 1
 
     def _match(self, element: _Element, values: dict) -> None:
         is_card, names = self._matches(element.tag, values.get("class"))
-        for card in self.open_cards:
-            inside = card.scopes[-1] if card.scopes else None
-            for name in names:
-                scope = inside
-                if name == self.spec.scope:
-                    scope = card.n_scopes
-                    card.n_scopes += 1
-                    card.scopes.append(scope)
-                    element.scoped.append(card)
-                hit = _Hit(name, scope, values.get(self.attrs.get(name)))
-                card.hits.append(hit)
-                element.hits.append(hit)
-        self.open_hits.extend(element.hits)
+        if names and self.open_cards:
+            element.hits, element.scoped = [], []
+            for card in self.open_cards:
+                self._hit(element, card, names, values)
+            self.open_hits.extend(element.hits)
         if is_card:
             self.cards.append(_Card())
             self.open_cards.append(self.cards[-1])
 
+    def _hit(self, element: _Element, card: _Card, names: list[str], values: dict) -> None:
+        inside = card.scopes[-1] if card.scopes else None
+        for name in names:
+            scope = inside
+            if name == self.spec.scope:
+                scope = card.n_scopes
+                card.n_scopes += 1
+                card.scopes.append(scope)
+                element.scoped.append(card)
+            hit = _Hit(name, scope, values.get(self.attrs.get(name)))
+            card.hits.append(hit)
+            element.hits.append(hit)
+
     def _matches(self, tag: str, class_attr: str | None) -> tuple[bool, list[str]]:
         found = self.memo.get((tag, class_attr))
         if found is None:
@@ -183,8 +192,10 @@ class CardReader(HTMLParser):
         return found
 
     def _leave(self, element: _Element) -> None:
-        del self.open_hits[element.n_hits :]
-        del self.open_cards[element.n_cards :]
+        if len(self.open_hits) > element.n_hits:
+            del self.open_hits[element.n_hits :]
+        if len(self.open_cards) > element.n_cards:
+            del self.open_cards[element.n_cards :]
         for card in element.scoped:
             card.scopes.pop()
 
@@ -195,7 +206,8 @@ class CardReader(HTMLParser):
 
     def _pop(self) -> None:
         element = self.stack.pop()
-        self.n_unseen -= element.tag in UNSEEN_TEXT_TAGS
+        if element.tag in UNSEEN_TEXT_TAGS:
+            self.n_unseen -= 1
         self._leave(element)
 
     def handle_endtag(self, tag: str) -> None:
@@ -207,10 +219,11 @@ class CardReader(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        self._count_child(True)
-        if not self.n_unseen:
-            for hit in self.open_hits:
-                hit.parts.append(data)
+        if self.open_hits:
+            self._count_child(True)
+            if not self.n_unseen:
+                for hit in self.open_hits:
+                    hit.parts.append(data)
 
     def handle_comment(self, data: str) -> None:
         self._count_child(False)
