@@ -1,15 +1,17 @@
 import datetime
+import random
+import time
+from html.parser import HTMLParser
+
+import pytest
 
 from lotwise.functions import fixed
-from lotwise.functions.html_cards import Address, CardReader, CardSpec
+from lotwise.functions.html_cards import Address, CardReader, CardSpec, _attributes
 from lotwise.operators import extract
 
 
 def read(html, spec):
-    reader = CardReader(spec)
-    reader.feed(html)
-    reader.close()
-    return [[h.row() for h in card.hits] for card in reader.cards]
+    return CardReader(spec).read(html)
 
 
 def test_class_with_a_blank_is_the_whole_attribute_and_a_word_is_any_of_them():
@@ -55,6 +57,77 @@ def test_nested_cards_both_count_and_scopes_number_blocks():
     assert [h[2] for h in cards[1]] == ["3"]
 
 
+class FullParse(HTMLParser):
+    """The same reader driven by the events of a full parse."""
+
+    def __init__(self, spec):
+        super().__init__(convert_charrefs=True)
+        self.reader = CardReader(spec)
+
+    def handle_starttag(self, tag, attrs):
+        raw = self.get_starttag_text()[1 + len(tag) : -1]
+        assert _attributes(raw) == {k: v or "" for k, v in attrs}
+        self.reader._start(tag, raw, "", 0)
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        self.reader._end(tag)
+
+    def handle_data(self, data):
+        if self.reader.open_hits and not any(e.tag == "script" for e in self.reader.stack):
+            self.reader._text(data)
+
+    def handle_comment(self, data):
+        if self.reader.open_hits:
+            self.reader._count_child(False)
+
+    def cards(self, html):
+        self.feed(html)
+        self.close()
+        return [[hit.row() for hit in card.hits] for card in self.reader.cards]
+
+
+PIECES = [
+    '<div class="u">', "</div>", "<b>", "</b >", "text", " &amp; &lt;b&gt; ", "&copy", "<!-- <li> -->", "<br>",
+    '<img alt="a>b">', "<p class='t u' id=\"x&amp;y\">", "</p>", '<script>var a="</b><li>";</script>', "<u/>",
+    "a < b", "5>4", "<li>", "</li>", "<LI CLASS=t>", "</LI>", "<p class = t  hidden>", '<b title="=">',
+    "<li class=t data-x='\"'>", "<a href=/x/y>", "</a>", "<a href='z' />", "\n", "é",
+]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_scanner_finds_what_a_full_parse_finds(seed):
+    rnd = random.Random(seed)
+    fields = {"u": Address("div", "u"), "t": Address("p", "t"), "b": Address("b"), "a": Address("a"), "l": Address("li", "t")}
+    spec = CardSpec(Address("li"), fields, scope="u", attrs=(("t", "id"), ("b", "title"), ("a", "href")))
+    for _ in range(300):
+        html = "".join(rnd.choices(PIECES, k=rnd.randint(1, 40)))
+        assert read(html, spec) == FullParse(spec).cards(html), html
+
+
+def test_whole_table_scans_as_it_parses(spark, sf_dir):
+    spec = CardSpec(Address("html"), {t: Address(t) for t in ("title", "h1", "p", "a", "div", "footer", "b")})
+    for row in spark.read.parquet(f"{sf_dir}/pages.parquet").select("html").collect():
+        assert read(row.html, spec) == FullParse(spec).cards(row.html)
+
+
+@pytest.mark.parametrize("junk", ["<a ", '<a b="', "<!-- ", "<script>", "</", "<a b='>", "=\"'<p", "<![CDATA["])
+def test_broken_markup_costs_no_more_than_its_length(junk):
+    spec = CardSpec(Address("li"), {"p": Address("p")})
+    started = time.perf_counter()
+    cards = read("<li><p>1</p></li>" + junk * 100000, spec)
+    assert time.perf_counter() - started < 5
+    assert [h[2] for h in cards[0]] == ["1"]
+
+
+def test_unclosed_comments_and_scripts_hide_no_cards():
+    spec = CardSpec(Address("li"), {"p": Address("p")})
+    for opening in ("<!-- a>", "<script>", "<style>", "<title>"):
+        assert [[h[2] for h in c] for c in read(opening + "<li><p>1</p></li>", spec)] == [["1"]]
+
+
 def _e(markup, name, inner, cls=None):
     tag, known = markup[name]
     return f'<{tag} class="{cls or known}">{inner}</{tag}>'
