@@ -173,6 +173,25 @@ def test_batch_from_extracts_to_tables(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(Province" in munster._jdf.queryExecution().toString()
 
 
+def test_jobs(spark, tmp_path, sf_dir):
+    from lotwise.__main__ import main
+    from lotwise.plans import renditions
+
+    a, b, tables, stats = (str(tmp_path / n) for n in ("a", "b", "tables", "stats"))
+    files.write_extract(renditions.portal_a_raw(spark, sf_dir), a)
+    files.write_extract(renditions.portal_b_raw(spark, sf_dir), b)
+    main(["clean", "--portal_a", a, "--portal_b", b, "--out", tables])
+    main(["stats", "--listings", f"{tables}/all_listings", "--out", stats])
+    listings = spark.read.parquet(f"{tables}/all_listings")
+    described = spark.read.csv(stats, header=True, inferSchema=True)
+    assert described.agg(F.sum("Price_count")).first()[0] == listings.count() > 0
+    pages, rows = str(tmp_path / "pages"), str(tmp_path / "rows")
+    renditions.sold_pages(spark, sf_dir).write.parquet(pages)
+    main(["extract", "--pages", pages, "--dataset", "sold", "--out", rows])
+    orders = renditions.table(spark, sf_dir, "orders")
+    assert spark.read.parquet(rows).count() == orders.count()
+
+
 def test_extract_with_doubled_quotes_and_row_numbers(spark, tmp_path):
     path = tmp_path / "b.csv"
     path.write_text(
