@@ -111,12 +111,12 @@ def floor_area_m2(spark, sf):
     text = r.cases(
         F.col("p_partkey"),
         [
-            F.concat(r._text(size * 5), F.lit("m 2")),
+            F.concat(r.as_text(size * 5), F.lit("m 2")),
             F.concat(F.format_number(size * 97, 0), F.lit("ft 2")),
-            F.concat(r._text(size + 60), F.lit(" - "), r._text(size * 4), F.lit("m 2")),
-            F.concat(r._text(size * 20), F.lit(" - "), r._text(size * 20 + 500), F.lit("ft 2")),
-            F.concat(r._text(size), F.lit(" ac")),
-            F.concat(r._text(size), F.lit("yd 2")),
+            F.concat(r.as_text(size + 60), F.lit(" - "), r.as_text(size * 4), F.lit("m 2")),
+            F.concat(r.as_text(size * 20), F.lit(" - "), r.as_text(size * 20 + 500), F.lit("ft 2")),
+            F.concat(r.as_text(size), F.lit(" ac")),
+            F.concat(r.as_text(size), F.lit("yd 2")),
             F.lit(None).cast("string"),
         ],
     )

@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(column: Column) -> Column:
+def as_text(column: Column) -> Column:
     return column.cast("string")
 
 
@@ -47,7 +47,7 @@ def euro(amount: Column) -> Column:
 
 def address(number: Column) -> Column:
     """One of 19 address spellings around one of the 32 counties."""
-    street = F.concat(_text(number), F.lit(" Main Street"))
+    street = F.concat(as_text(number), F.lit(" Main Street"))
     county = nth(fixed.COUNTIES, number)
 
     def after(*parts: str | Column) -> Column:
@@ -57,7 +57,7 @@ def address(number: Column) -> Column:
         number,
         [
             after(", Co. ", county),
-            after(", Dublin ", _text(number % 24 + 1)),
+            after(", Dublin ", as_text(number % 24 + 1)),
             after(", Dublin 6W"),
             after(",   West ", county),
             after(", County ", county),
@@ -84,9 +84,9 @@ def area_text(number: Column) -> Column:
     return cases(
         number,
         [
-            F.concat(_text(number % 200 + 40), F.lit("m 2")),
-            F.concat(_text(number % 3000 + 400), F.lit("ft 2")),
-            F.concat(_text(number % 40 + 60), F.lit(" - "), _text(number % 90 + 90), F.lit("m 2")),
+            F.concat(as_text(number % 200 + 40), F.lit("m 2")),
+            F.concat(as_text(number % 3000 + 400), F.lit("ft 2")),
+            F.concat(as_text(number % 40 + 60), F.lit(" - "), as_text(number % 90 + 90), F.lit("m 2")),
             F.lit("nan"),
             F.lit(None).cast("string"),
         ],
@@ -95,7 +95,7 @@ def area_text(number: Column) -> Column:
 
 def portal_a_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size")
-    price = _text(F.floor(F.col("p_retailprice") * 500))
+    price = as_text(F.floor(F.col("p_retailprice") * 500))
     return table(spark, sf_dir, "part").select(
         key.alias("src_row"),
         F.when(F.col("p_type") != "PROMO", size % 7).cast("double").alias("Bed"),
@@ -122,7 +122,7 @@ def portal_b_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         area_text(key).alias("floor_area"),
         F.when(key % 8 == 0, F.lit("PoA"))
         .when(key % 8 == 1, F.lit("nan"))
-        .otherwise(_text(F.floor(F.abs("c_acctbal")) * 100))
+        .otherwise(as_text(F.floor(F.abs("c_acctbal")) * 100))
         .alias("Price"),
         F.when(key % 50 == 7, F.lit("nan")).otherwise(address(key)).alias("Address"),
         nth(LISTING_TYPES, key).alias("Property_type"),
@@ -191,7 +191,7 @@ def pages_of(cards: DataFrame, order: str) -> DataFrame:
             F.array_join(F.transform(in_order, lambda c: c["card"]), "\n"),
             F.lit(PAGE_FOOT),
         ).alias("html")
-    ).select("page_id", F.concat(F.lit("page/"), _text(F.col("page_id"))).alias("url"), "html")
+    ).select("page_id", F.concat(F.lit("page/"), as_text(F.col("page_id"))).alias("url"), "html")
 
 
 def portal_a_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,16 +202,16 @@ def portal_a_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         euro(F.floor(F.col("p_retailprice") * 500))
     )
     where = F.concat(F.col("p_name"), F.lit(", Co. "), nth(fixed.COUNTIES, key))
-    area = F.when(key % 3 == 0, F.concat(_text(size % 9 + 1), F.lit(" ac"))).when(
-        key % 3 == 1, F.concat(_text(size * 10), F.lit(" m²"))
+    area = F.when(key % 3 == 0, F.concat(as_text(size % 9 + 1), F.lit(" ac"))).when(
+        key % 3 == 1, F.concat(as_text(size * 10), F.lit(" m²"))
     )
     kind = nth(LISTING_TYPES, key)
     single = _card(
         m,
         _element(m, "price", price),
         _element(m, "address", where),
-        _element(m, "detail", F.concat(_text(size % 7), F.lit(" Bed"))),
-        _element(m, "detail", F.concat(F.lit("<b>"), _text(size % 4), F.lit("</b> Bath"))),
+        _element(m, "detail", F.concat(as_text(size % 7), F.lit(" Bed"))),
+        _element(m, "detail", F.concat(F.lit("<b>"), as_text(size % 4), F.lit("</b> Bath"))),
         F.coalesce(_element(m, "detail", area), F.lit("")),
         _element(m, "detail", "Energy"),
         F.when(key % 7 == 0, F.lit("")).otherwise(_element(m, "kind", kind)),
@@ -219,7 +219,7 @@ def portal_a_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def unit(extra: int, priced: bool) -> Column:
         info = F.concat(
-            _text(size % 7 + extra), F.lit(" Bed · "), _text(size % 4 + 1), F.lit(" Bath · "), kind
+            as_text(size % 7 + extra), F.lit(" Bed · "), as_text(size % 4 + 1), F.lit(" Bath · "), kind
         )
         amount = euro(F.floor(F.col("p_retailprice") * 500) + 1000 * extra)
         parts = [_element(m, "unit_price", amount)] if priced else []
@@ -241,13 +241,13 @@ def portal_b_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     def detail(text: Column) -> Column:
         return _element(m, "detail", F.concat(icon, F.lit(" "), text, F.lit(" ")))
 
-    beds = F.concat(_text(key % 6), F.when(key % 6 == 1, F.lit(" bed")).otherwise(F.lit(" beds")))
+    beds = F.concat(as_text(key % 6), F.when(key % 6 == 1, F.lit(" bed")).otherwise(F.lit(" beds")))
     area = cases(
         key,
         [
-            F.concat(_text(key % 200 + 40), F.lit("m <sup>2</sup>")),
-            F.concat(_text(key % 3000 + 400), F.lit("ft <sup>2</sup>")),
-            F.concat(_text(key % 9 + 1), F.lit("ac <sup>x</sup>")),
+            F.concat(as_text(key % 200 + 40), F.lit("m <sup>2</sup>")),
+            F.concat(as_text(key % 3000 + 400), F.lit("ft <sup>2</sup>")),
+            F.concat(as_text(key % 9 + 1), F.lit("ac <sup>x</sup>")),
         ],
     )
     price = F.when(key % 8 == 0, F.lit("POA")).otherwise(euro(F.floor(F.abs("c_acctbal")) * 100))
@@ -260,7 +260,7 @@ def portal_b_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _element(m, "price", price, "ng-tns-c7 x ng-star-inserted"),
         _element(m, "address", F.col("c_name"), "ng-c1 PropertyListingCard__Address"),
         detail(beds),
-        detail(F.concat(_text(key % 3), F.lit(" baths"))),
+        detail(F.concat(as_text(key % 3), F.lit(" baths"))),
         _element(m, "detail", F.concat(icon, area)),
         detail(kind),
     )
@@ -273,7 +273,7 @@ def sold_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     card = _card(
         m,
-        _element(m, "address", F.concat(F.lit(" "), _text(key), F.lit(" Main Street &amp; Sons, Cork "))),
+        _element(m, "address", F.concat(F.lit(" "), as_text(key), F.lit(" Main Street &amp; Sons, Cork "))),
         _element(m, "date", F.concat(F.lit(" "), F.date_format("o_orderdate", "MM/dd/yyyy"))),
         _element(m, "span", "Sold", "tag ng-star-inserted"),
         _element(m, "span", euro(F.floor("o_totalprice")), "ng-star-inserted price"),
@@ -285,19 +285,17 @@ def sold_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = fixed.CHANGE_MARKUP
     sign = F.when(F.col("change_pct") < 0, F.lit("")).otherwise(F.lit("+"))
-    percent = F.concat(F.lit("("), sign, _text(F.col("change_pct")), F.lit("%)"))
+    percent = F.concat(F.lit("("), sign, as_text(F.col("change_pct")), F.lit("%)"))
 
-    def item(first: Column, second: Column) -> Column:
-        return _element(
-            m, "item", F.concat(_element_span(first), F.lit("<br>"), _element_span(second))
-        )
-
-    def _element_span(content: Column) -> Column:
+    def span(content: Column) -> Column:
         return F.concat(F.lit("<span>"), content, F.lit("</span>"))
 
+    def item(first: Column, second: Column) -> Column:
+        return _element(m, "item", F.concat(span(first), F.lit("<br>"), span(second)))
+
     card = _card(
         m,
-        _element(m, "address", F.concat(F.lit(" "), _text(F.col("src_row")), F.lit(" Main Street, Cork "))),
+        _element(m, "address", F.concat(F.lit(" "), as_text(F.col("src_row")), F.lit(" Main Street, Cork "))),
         _element(m, "date", F.concat(F.lit(" "), F.date_format("Date", "d MMM yyyy"))),
         item(euro(F.abs("change_eur")), percent),
         item(euro(F.col("Old_price")), euro(F.col("New_price"))),

@@ -34,5 +34,20 @@ def test_query_gives_what_its_sql_gives(spark, con, sf_dir, name):
     assert ("BatchEvalPythonUDTF" in plan) == (name in TOKENIZED)
 
 
+@pytest.mark.parametrize(
+    "name", ["region_nation_stats", "fold_small_groups", "province_lookup", "lookup_last_wins", "combine_and_fold"]
+)
+def test_joins_hold_beyond_the_broadcast_size(spark, con, sf_dir, name):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        df = QUERIES[name](spark, sf_dir)
+        assert oracle.differences(df, con, SQL[name]) == []
+        assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
