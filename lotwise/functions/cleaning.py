@@ -193,16 +193,13 @@ DATE_FORMATS = {
 
 def date_from_text(text: Column, formats: Mapping[str, Sequence[str]] = DATE_FORMATS) -> Column:
     """Date of a text in one of the formats, else NULL. Only formats of its shape are tried."""
-
-    def parse(bare: Column) -> Column:
-        return F.coalesce(
-            *[
-                F.when(bare.rlike(shape), F.coalesce(*[F.try_to_date(bare, f) for f in tried]))
-                for shape, tried in formats.items()
-            ]
-        )
-
-    return once(strip(text), parse)
+    bare = strip(text)
+    return F.coalesce(
+        *[
+            F.when(bare.rlike(shape), F.coalesce(*[F.try_to_date(bare, f) for f in tried]))
+            for shape, tried in formats.items()
+        ]
+    )
 
 
 def percent_from_text(text: Column) -> Column:
