@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import class_lm, exact_dedup, language_id, quality, sentencepiece
+from lotwise.llm import class_lm, decontaminate, exact_dedup, language_id, near_dedup, quality, sentencepiece
 from lotwise.llm.common import fold, table
 
 
@@ -40,6 +40,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=2)
+
+
 def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 10) == 0
@@ -51,6 +55,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
@@ -64,5 +72,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_sentencepiece, op3_language_id, op7_class_lm, op8_exact_dedup, op10_quality)
+    for f in (
+        op2_sentencepiece, op3_language_id, op4_near_dedup, op7_class_lm, op8_exact_dedup, op9_decontaminate,
+        op10_quality,
+    )
 }
