@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import class_lm, decontaminate, exact_dedup, language_id, near_dedup, quality, sentencepiece
+from lotwise.llm import class_lm, decontaminate, exact_dedup, language_id, near_dedup, quality, secrets, sentencepiece, substring_dedup, url_filter
 from lotwise.llm.common import fold, table
 
 
@@ -15,6 +15,19 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+RULES = [
+    url_filter.Rule("org/", "allow"),
+    url_filter.Rule("example.org/es/", "block"),
+    url_filter.Rule("example.org/en/1", "block"),
+    url_filter.Rule("com/fr/", "allow"),
+    url_filter.Rule("com/de/", "block"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = sentencepiece.with_pieces(docs, piece_model())
@@ -44,6 +57,33 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=2)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        number("assign").alias("n_assign"),
+        number("access").alias("n_access"),
+        number("hex").alias("n_hex"),
+        F.sha2("base_text", 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 10) == 0
@@ -73,7 +113,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_sentencepiece, op3_language_id, op4_near_dedup, op7_class_lm, op8_exact_dedup, op9_decontaminate,
+        op1_url_filter, op2_sentencepiece, op3_language_id, op4_near_dedup, op5_substring_dedup,
+        op6_secrets, op7_class_lm, op8_exact_dedup, op9_decontaminate,
         op10_quality,
     )
 }
