@@ -12,9 +12,9 @@ is confirmed on the full shingle sets.
 Links are wanted as components, so a group of copies is not expanded to its
 pairs. Documents with equal sets become one class first. Then, in rounds, each
 class meets one centre of the buckets it is in, and only centres of another
-component; confirmed links merge components. When a round finds no more links,
-all pairs of classes that share a bucket and are still in different components
-are confirmed, so no link between components is missed.
+component; confirmed links merge components. Once the pairs that share a bucket
+and are in different components are few for the number of entries, or a round
+finds no link, all of them are confirmed, so no link between components is missed.
 
 Scale. One pass over the texts makes sketches; entries shuffle as (key, class),
 and only keys with two classes go on. Texts are read a second time for classes
@@ -50,6 +50,8 @@ SLOTS = CHUNKS * WIDTH
 DISTANCE = 2 * CHUNKS - 1
 SCREEN = 24
 ROUNDS = 8
+#: Open pairs for each entry below which all of them are confirmed without another round.
+CHEAP = 4
 TABLE = 1 << 19
 BLOCK = 1 << 15
 _RNG = np.random.default_rng(20)
@@ -184,10 +186,12 @@ def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text:
         "near-sets",
     )
     sizes = _side(classes, "a"), _side(classes, "b")
-    roots = classes.select("node", F.col("node").alias("root"))
-    links = None
+    roots, linked = classes.select("node", F.col("node").alias("root")), False
+    n_entries = shared.count()
     for turn in range(ROUNDS):
         found = shared.join(roots, "node")
+        if _open_pairs(found) <= CHEAP * n_entries:
+            break
         order = F.struct(F.xxhash64("root", F.lit(turn)).alias("h"), "root", F.col("node").alias("b"))
         centres = (
             found.groupBy("key")
@@ -209,33 +213,35 @@ def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text:
         new = stage(_confirmed(met, sets), "near-links")
         if new.isEmpty():
             break
-        links = new if links is None else links.unionByName(new)
-        merged = components(links)
-        roots = stage(
-            classes.select("node").join(merged, "node", "left").select("node", F.coalesce("root", "node").alias("root")),
-            "near-roots",
-        )
+        roots, linked = _merged(roots, new), True
     found = shared.join(roots, "node")
-    split = (
-        found.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    )
-    open_rows = found.join(split, "key").join(classes.select("node", "n", "slots"), "node")
-    left, right = (
-        open_rows.select(
-            "key",
-            F.col("node").alias(s),
-            F.col("root").alias(f"{s}_root"),
-            F.col("n").alias(f"{s}_n"),
-            F.col("slots").alias(f"{s}_slots"),
-        )
-        for s in "ab"
-    )
-    rest = left.join(right, "key").where((F.col("a_root") < F.col("b_root")) & _screened("a", "b"))
-    last = stage(_confirmed(rest.select("a", "b").distinct(), sets), "near-links")
+    split = found.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    open_rows = found.join(split, "key").select("key", "node", "root")
+    left = open_rows.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
+    right = open_rows.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
+    rest = left.join(right, "key").where("a_root < b_root").select("a", "b").distinct()
+    rest = rest.join(sizes[0], "a").join(sizes[1], "b").where(_screened("a", "b")).select("a", "b")
+    last = stage(_confirmed(rest, sets), "near-links")
     if not last.isEmpty():
-        links = last if links is None else links.unionByName(last)
-        return components(links)
-    return None if links is None else roots
+        return _merged(roots, last)
+    return roots if linked else None
+
+
+def _open_pairs(found: DataFrame) -> int:
+    """Pairs of classes, once for each key that they share, in different components."""
+    held = found.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key")
+    pairs = held.agg((F.pow(F.sum("n"), F.lit(2)) - F.sum(F.col("n") * F.col("n"))).alias("twice"))
+    return int((pairs.agg(F.sum("twice")).first()[0] or 0) // 2)
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots after the links' components are joined."""
+    ends = links.join(roots.withColumnRenamed("node", "a").withColumnRenamed("root", "ra"), "a")
+    ends = ends.join(roots.withColumnRenamed("node", "b").withColumnRenamed("root", "rb"), "b")
+    moved = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).toDF("root", "to")
+    return stage(
+        roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "near-roots"
+    )
 
 
 def near_groups(docs: DataFrame, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
