@@ -118,9 +118,11 @@ def _mean_sum(values: Column) -> Column:
 def randomness(codes: Column, size: Column) -> Column:
     """p-value of the hypothesis that the codes are independent and even on 0 .. size - 1."""
     n = F.size(codes).cast("double")
-    bins = [
-        F.size(F.filter(codes, lambda c, b=b: F.floor(c * BINS / size) == b)).cast("double") for b in range(BINS)
-    ]
+
+    def in_bin(b: int) -> Column:
+        return F.size(F.filter(codes, lambda c: F.floor(c * BINS / size) == b)).cast("double")
+
+    bins = [in_bin(b) for b in range(BINS)]
     # how many codes of the alphabet a bin holds
     held = [F.ceil((b + 1) * size / BINS) - F.ceil(b * size / BINS) for b in range(BINS)]
     chi = sum(((o - n * h / size) * (o - n * h / size) / (n * h / size) for o, h in zip(bins, held)), F.lit(0.0))
