@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import fixed
 
-WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
-BLANKS = " \t\n\r\x0b\x0c\u00a0"
-DECIMAL_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
+WHOLE_NUMBER = r"(?U)^\s*[+-]?[0-9]+\s*$"
+# What Unicode counts as white space.
+BLANKS = " \t\n\r\x0b\x0c\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+DECIMAL_NUMBER = r"(?U)^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)\s*$"
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -22,13 +23,13 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def whole_number(text: Column) -> Column:
     """Bigint of a text that is nothing but a whole number, else NULL."""
-    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint"))
+    return F.when(text.rlike(WHOLE_NUMBER), strip(text).try_cast("bigint"))
 
 
 def decimal_number(text: Column) -> Column:
     """Double of a plain decimal text (thousands commas allowed), else NULL."""
     bare = F.replace(text, F.lit(","), F.lit(""))
-    return F.when(bare.rlike(DECIMAL_NUMBER), bare.try_cast("double"))
+    return F.when(bare.rlike(DECIMAL_NUMBER), strip(bare).try_cast("double"))
 
 
 def strip(text: Column) -> Column:
@@ -183,17 +184,29 @@ def county_valid(county: Column, vocabulary: Sequence[str] = tuple(fixed.COUNTIE
 
 # Shapes of a date text and their formats, month first before day first.
 DATE_FORMATS = {
-    r"^\d{4}-": ["yyyy-MM-dd"],
-    r"^\d+/": ["M/d/yyyy", "d/M/yyyy"],
+    r"^\d{4}-": ["yyyy-M-d"],
+    r"^\d{4}/": ["yyyy/M/d"],
+    r"^\d+/\d+/\d{4}$": ["M/d/yyyy", "d/M/yyyy"],
+    r"^\d+/\d+/\d{2}$": ["M/d/yy", "d/M/yy"],
+    r"^\d+-\d+-\d{4}$": ["M-d-yyyy", "d-M-yyyy"],
+    r"^\d+-\w{3}-": ["d-MMM-yyyy"],
     r"^\d+ \w{3} ": ["d MMM yyyy"],
     r"^\d+ \w{4,} ": ["d MMMM yyyy"],
     r"^\w{3} \d": ["MMM d, yyyy"],
+    r"^\w{4,} \d": ["MMMM d, yyyy"],
 }
+WEEKDAY = r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,? +"
+ORDINAL = r"^((?:\w+ )?\d{1,2})(?:st|nd|rd|th)\b"
+TIME_OF_DAY = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$"
 
 
 def date_from_text(text: Column, formats: Mapping[str, Sequence[str]] = DATE_FORMATS) -> Column:
-    """Date of a text in one of the formats, else NULL. Only formats of its shape are tried."""
-    bare = strip(text)
+    """Date of a text in one of the formats, else NULL. Only formats of its shape are tried.
+
+    A weekday before it, a time after it and an ordinal's letters do not matter.
+    """
+    bare = F.regexp_replace(F.regexp_replace(strip(text), WEEKDAY, ""), TIME_OF_DAY, "")
+    bare = F.regexp_replace(bare, ORDINAL, "$1")
     return F.coalesce(
         *[
             F.when(bare.rlike(shape), F.coalesce(*[F.try_to_date(bare, f) for f in tried]))
@@ -202,6 +215,10 @@ def date_from_text(text: Column, formats: Mapping[str, Sequence[str]] = DATE_FOR
     )
 
 
+def date_status(text: Column) -> Column:
+    return F.when(date_from_text(text).isNotNull(), "parsed").when(text.isNotNull(), "other")
+
+
 def percent_from_text(text: Column) -> Column:
     """`(-3.57%)` to -3.57: without the first and the last two characters."""
     return decimal_number(F.substring(text, F.lit(2), F.length(text) - 3))

@@ -17,14 +17,14 @@ def register(df: DataFrame, view: str = VIEW) -> None:
 
 def _predicate(bounds, county: str, category: str) -> tuple[str, dict]:
     terms, args = [], {}
-    for column, (low, high) in {**fixed.EXPLORER_BOUNDS, **(bounds or {})}.items():
+    for column, (low, high) in (bounds or {}).items():
         terms.append(f"`{column}` BETWEEN :min_{column} AND :max_{column}")
         args |= {f"min_{column}": low, f"max_{column}": high}
     for column, wanted in {"County": county, "Property_Category": category}.items():
         if wanted != ALL:
             terms.append(f"`{column}` = :{column}")
             args[column] = wanted
-    return " AND ".join(terms), args
+    return " AND ".join(terms) or "TRUE", args
 
 
 def explore(
@@ -38,6 +38,7 @@ def explore(
 ) -> DataFrame:
     """x, y and the tooltip columns of the selected properties, with their number.
 
+    A range that is not named is open; `fixed.EXPLORER_BOUNDS` are those a page starts with.
     The number comes from a second, pruned scan: a window over all rows would
     pass them through one task.
     """

@@ -26,9 +26,11 @@ def lookup_left(df: DataFrame, dim: DataFrame, key: Column, dim_key: str, value:
 
 
 def add_province(df: DataFrame, dim: DataFrame | None = None, county: str = "County") -> DataFrame:
-    """Province of each county, numbered districts by their county."""
+    """Province of each county, numbered districts by their county. Of a county given twice the last row counts."""
     if dim is None:
         dim = F.broadcast(county_lookup(df.sparkSession))
+    else:
+        dim = last_wins(dim.withColumn("_at", F.monotonically_increasing_id()), "County", "Province", "_at")
     return lookup_left(df, dim, lookup_key(F.col(county)), "County", "Province")
 
 
@@ -39,7 +41,8 @@ def exclude_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """
     side = keys.select(F.col(column).alias("_excluded")).dropna()
     kept = df.join(side, F.col(column) == F.col("_excluded"), "left_anti")
-    return kept.dropna(subset=[column]) if side.take(1) else kept
+    n_keys = side.limit(1).agg(F.count("*")).scalar()
+    return kept.where(F.col(column).isNotNull() | (n_keys == 0))
 
 
 def fold_keys(df: DataFrame, keys: DataFrame, column: str, bucket: str) -> DataFrame:

@@ -77,8 +77,7 @@ def orphans(df: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataF
 def change_consistent(
     new: str = "New_price", old: str = "Old_price", euro: str = "change_eur", pct: str = "change_pct"
 ) -> Column:
-    """New minus old is the change in euro, and both changes have one sign."""
+    """New minus old is the change in euro, and the percentage is that change's of old, to a hundredth."""
     change = F.col(euro)
-    return (F.col(new) - F.col(old) == change) & (
-        F.signum(change.cast("double")) * F.signum(F.col(pct)) >= 0
-    )
+    share = F.round(change * 100 / F.col(old), 2)
+    return (F.col(new) - F.col(old) == change) & (F.abs(share - F.col(pct)) < 0.015)

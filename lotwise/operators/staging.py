@@ -32,7 +32,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder once and read it back."""
+    """Write `df` to the shared folder once and read it back; it goes when the application ends."""
     path = scratch_path(df.sparkSession, label)
+    jvm = df.sparkSession._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

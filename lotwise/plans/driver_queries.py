@@ -194,7 +194,10 @@ def price_change_signed(spark, sf):
         F.when(returned, low).otherwise(high).alias("old"),
     )
     percent = F.round((F.col("new") - F.col("old")) * 100 / F.col("old"), 2)
-    formats = ["yyyy-MM-dd", "MM/dd/yyyy", "d MMM yyyy"]
+    percent = F.when(F.col("l_linenumber") == 7, percent * 2).otherwise(percent)  # not consistent
+    formats = [
+        "yyyy-MM-dd", "MM/dd/yyyy", "d MMM yyyy", "MMMM d, yyyy", "yyyy/MM/dd", "d-MMM-yyyy", "yyyy-MM-dd HH:mm:ss",
+    ]
     texts = priced.select(
         "l_orderkey",
         "l_linenumber",
@@ -393,6 +396,13 @@ def explore_count(spark, sf):
     return explore.n_selected(spark, bounds, view="lineitem_counted")
 
 
+@register
+def explore_partial(spark, sf):
+    """One range is named, the others stay open."""
+    explore.register(_lineitem_listings(spark, sf), "lineitem_partial")
+    return explore.explore(spark, {"Beds": (2, 4)}, category="O", view="lineitem_partial")
+
+
 @register
 def scatter_data(spark, sf):
     return explore.scatter_points(_lineitem_listings(spark, sf), "Baths", "Price", 50000)

@@ -317,7 +317,9 @@ SQL: dict[str, str] = {
                    CASE WHEN l_returnflag = 'R' THEN low ELSE high END AS Old_price FROM ends)
         SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS date, New_price, Old_price,
                New_price - Old_price AS change_eur,
-               round((New_price - Old_price) * 100 / Old_price, 2) AS change_pct, TRUE AS consistent
+               round((New_price - Old_price) * 100 / Old_price, 2) * CASE l_linenumber WHEN 7 THEN 2 ELSE 1 END
+                   AS change_pct,
+               l_linenumber <> 7 OR New_price = Old_price AS consistent
         FROM priced""",
     "province_lookup": """
         WITH c AS (
@@ -376,6 +378,10 @@ SQL: dict[str, str] = {
         WHERE l_linenumber >= 1 AND l_linenumber <= 6 AND l_quantity >= 1 AND l_quantity <= 30
           AND l_extendedprice >= 0 AND l_extendedprice <= 50000
           AND l_discount >= 0 AND l_discount <= 0.05""",
+    "explore_partial": """
+        SELECT l_discount AS x, l_extendedprice AS y, l_extendedprice AS Price,
+               l_linestatus AS Property_type, l_returnflag AS County, count(*) OVER () AS n_selected
+        FROM lineitem WHERE l_linenumber >= 2 AND l_linenumber <= 4 AND l_linestatus = 'O'""",
     "scatter_data": """
         SELECT l_quantity::VARCHAR AS x, l_extendedprice AS y FROM lineitem
         WHERE l_extendedprice < 50000""",

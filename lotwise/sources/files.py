@@ -11,13 +11,25 @@ from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 from lotwise.functions import fixed
 
 # Quotes inside a field are doubled.
-CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+CSV_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
-def read_extract(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """A delimited extract by position under an explicit schema, never inferred."""
-    reader = spark.read.options(**CSV_OPTIONS, enforceSchema=True).schema(schema)
-    return null_tokens(reader.csv(path))
+def read_extract(
+    spark: SparkSession, path: str | list[str], schema: StructType, multi_line: bool = False, check_header: bool = False
+) -> DataFrame:
+    """A delimited extract by position under an explicit schema, never inferred.
+
+    `multi_line` reads line breaks inside quotes; a file is then one task.
+    `check_header` raises when the header's names are not the schema's, in order.
+    """
+    options = {**CSV_OPTIONS, "enforceSchema": not check_header, "multiLine": multi_line}
+    return null_tokens(spark.read.options(**options).schema(schema).csv(path))
 
 
 def null_tokens(

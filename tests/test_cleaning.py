@@ -170,3 +170,17 @@ def test_prefix_and_lookup_key(spark):
     pairs = [("Dublin 8", "Dublin"), ("Dubliner", "Dubliner"), ("Cork 2", "Cork 2"), (None, None)]
     got, want = evaluate(spark, pairs, c.lookup_key)
     assert got == want
+
+
+def test_dates_in_all_spellings(spark):
+    same = ["December 9, 2022", "9th December 2022", "Fri 9 Dec 2022", "9-Dec-2022", "2022/12/09", "2022-12-09 00:00:00",
+            "12/9/22", "12-09-2022", "Dec 9, 2022", "9 Dec 2022"]
+    df = spark.createDataFrame([(t,) for t in [*same, "soon", None]], "t string")
+    got = df.select(c.date_from_text(F.col("t")), c.date_status(F.col("t"))).collect()
+    assert [str(r[0]) for r in got[:-2]] == ["2022-12-09"] * len(same)
+    assert [r[1] for r in got[-3:]] == ["parsed", "other", None] and got[-2][0] is None
+
+
+def test_blanks_of_any_kind(spark):
+    df = spark.createDataFrame([("€250,000\u00a0",), ("€\u00a0250,000",), ("€\u2009250,000",)], "t string")
+    assert [r[0] for r in df.select(c.price_from_text(F.col("t"))).collect()] == [250000] * 3

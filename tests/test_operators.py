@@ -183,7 +183,7 @@ def test_quality_checks(spark):
     df = spark.createDataFrame([("a", None, 1.0), (None, None, 2.0), (None, None, None)], "k string, p string, area double")
     assert rows(profile.orphans(df, ["k", "p"], ["area"])) == [(None, None, 2.0)]
     changes = spark.createDataFrame(
-        [(5, 3, 2, 1.0), (5, 3, -2, -1.0), (3, 5, -2, 1.0)], "New_price long, Old_price long, change_eur long, change_pct double"
+        [(5, 3, 2, 66.67), (5, 3, -2, -66.67), (3, 5, -2, 40.0)], "New_price long, Old_price long, change_eur long, change_pct double"
     )
     assert [r[0] for r in changes.select(profile.change_consistent()).collect()] == [True, False, False]
 
@@ -219,3 +219,15 @@ def test_scratch_folder_is_shared_on_a_cluster():
     assert scratch_root(Session(spark_checkpoint_dir="hdfs://shared/x/", spark_master="yarn")) == "hdfs://shared/x"
     with pytest.raises(ValueError):
         scratch_root(Session(spark_master="yarn"))
+
+
+def test_last_row_of_a_county_wins(spark):
+    df = spark.createDataFrame([("Cork",)], "County string")
+    dim = spark.createDataFrame([("Cork", "Old"), ("Cork", "New")], "County string, Province string").coalesce(1)
+    assert [tuple(r) for r in lookup.add_province(df, dim).collect()] == [("Cork", "New")]
+
+
+def test_change_and_percentage_agree(spark):
+    rows = [(110, 100, 10, 10.0), (110, 100, 10, 50.0), (110, 100, 9, 10.0), (99, 100, -1, -1.0)]
+    df = spark.createDataFrame(rows, "New_price bigint, Old_price bigint, change_eur bigint, change_pct double")
+    assert [r[0] for r in df.select(profile.change_consistent()).collect()] == [True, False, False, True]

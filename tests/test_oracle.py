@@ -4,12 +4,13 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
+from lotwise.plans.driver_queries import QUERIES
+from lotwise.plans.driver_sql import SQL
 
 # The queries that need the HTML table function; all others stay out of Python.
 TOKENIZED = {
     "page_cards", "page_fields", "page_listings", "page_listings_b", "page_sold", "page_changes",
 }
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

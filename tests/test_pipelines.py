@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise import schemas
+from lotwise.functions import fixed
 from lotwise.operators import explore, groups
 from lotwise.plans import pipelines
 from lotwise.sources import files
@@ -128,7 +129,7 @@ def test_scatter(listings):
 
 
 def test_explorer(spark, listings):
-    assert pipelines.explorer(listings).count() == 0
+    assert pipelines.explorer(listings, bounds=fixed.EXPLORER_BOUNDS).count() == 0
     wide = {"Beds": (0, 20), "Baths": (0, 20), "Price": (0, 10000000), "Floor_area": (0, 3000)}
     every = pipelines.explorer(listings, bounds=wide).collect()
     assert len(every) == 5 and {r.n_selected for r in every} == {5}
@@ -231,3 +232,24 @@ def test_county_lookup(spark):
     counts = dict(tuple(r) for r in groups.group_counts(files.county_lookup(spark), "Province").collect())
     assert counts == {"Leinster": 12, "Ulster": 9, "Munster": 6, "Connaught": 5}
     assert files.county_lookup(spark).select(F.count_distinct("County")).first()[0] == 32
+
+
+def test_extract_keeps_blanks_and_line_breaks(spark, tmp_path):
+    rows = [("  10 Building, Dublin 8 ", 1), ('1 Road\n"Cork"', 2)]
+    kind = "Address string, n int"
+    from pyspark.sql.types import _parse_datatype_string
+
+    files.write_extract(spark.createDataFrame(rows, kind), str(tmp_path / "x"))
+    schema = _parse_datatype_string(kind)
+    got = files.read_extract(spark, str(tmp_path / "x"), schema, multi_line=True, check_header=True)
+    assert sorted(map(tuple, got.collect())) == sorted(rows)
+    other = _parse_datatype_string("n int, Address string")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_extract(spark, str(tmp_path / "x"), other, check_header=True).collect()
+
+
+def test_ranges_that_are_not_named_are_open(spark):
+    df = spark.createDataFrame([(i, 9, 10**7, 500.0) for i in range(6)], "Beds int, Baths int, Price int, Floor_area double")
+    explore.register(df, "open_ranges")
+    assert explore.n_selected(spark, {"Beds": (2, 4)}, view="open_ranges").first()[0] == 3
+    assert explore.n_selected(spark, view="open_ranges").first()[0] == 6
