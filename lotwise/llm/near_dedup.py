@@ -10,17 +10,23 @@ it may meet too; those that differ in more than `SCREEN` slots are not compared
 is confirmed on the full shingle sets.
 
 Links are wanted as components, so a group of copies is not expanded to its
-pairs. Documents with equal sets become one class first. Then, in rounds, each
-class meets one centre of the buckets it is in, and only centres of another
-component; confirmed links merge components. Once the pairs that share a bucket
-and are in different components are few for the number of entries, or a round
-finds no link, all of them are confirmed, so no link between components is missed.
+pairs. Documents with equal sets become one class first. Each key has a centre,
+the first of its classes in one fixed random order; every class is confirmed
+against the nearest of its centres, and confirmed links merge components. What
+shares a key across components is then compared in blocks: classes with the same
+first centre share a home of bounded size, and two homes (or one with itself)
+meet once with those of their classes that share such a key, however many keys
+those are. Inside a block signatures are compared first, then full sets, and only
+links that join two components leave it. So no link between components is missed
+among pairs that meet, and no pair leaves a block unconfirmed.
 
 Scale. One pass over the texts makes sketches; entries shuffle as (key, class),
 and only keys with two classes go on. Texts are read a second time for classes
-that have a partner, joined on their id. Hot keys are minima per key and joins
-that adaptive execution can split; intermediate tables are written to the
-shared folder.
+that have a partner, joined on their id. Full sets go to blocks, not to pairs or
+keys. Homes hold about `BLOCK` shingles, so a group that has more is split over
+as many tasks as it has pairs of homes; homes that are in one component do not
+meet. Hot keys are minima per key and joins that adaptive execution can split;
+intermediate tables are written to the shared folder.
 
 Defined cases. Texts without words, and null texts, have no shingle and are
 linked with nothing. A text with fewer words than a shingle has the whole
@@ -35,6 +41,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -49,11 +56,10 @@ CHUNKS, WIDTH = 10, 5
 SLOTS = CHUNKS * WIDTH
 DISTANCE = 2 * CHUNKS - 1
 SCREEN = 24
-ROUNDS = 8
-#: Open pairs for each entry below which all of them are confirmed without another round.
-CHEAP = 4
+#: Shingles of the classes that make one home.
+BLOCK = 1 << 18
 TABLE = 1 << 19
-BLOCK = 1 << 15
+PART = 1 << 15
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RNG.integers(0, 1 << 63, SLOTS, dtype=np.uint64)
@@ -86,8 +92,8 @@ def shingle_hashes(text: str, words: int, hashes: WordHashes) -> np.ndarray:
 def signature(shingles: np.ndarray) -> np.ndarray:
     """16 bits of the smallest value of each of SLOTS hash functions."""
     least = np.full(SLOTS, np.iinfo(np.uint64).max, np.uint64)
-    for low in range(0, len(shingles), BLOCK):
-        part = shingles[low : low + BLOCK, None] * _FACTORS + _SHIFTS
+    for low in range(0, len(shingles), PART):
+        part = shingles[low : low + PART, None] * _FACTORS + _SHIFTS
         least = np.minimum(least, part.min(axis=0))
     return ((least >> np.uint64(20)) & np.uint64(0xFFFF)).astype(np.int32)
 
@@ -169,11 +175,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text: str) -> DataFrame | None:
-    """node, root for classes with a link; None if there is none."""
+def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text: str) -> DataFrame:
+    """node, root for every class that shares a key with another."""
     shared = stage(entries(classes), "near-entries")
-    partnered = shared.select("node").distinct()
-    classes = stage(classes.join(partnered, "node", "left_semi"), "near-classes")
+    classes = stage(classes.join(shared.select("node").distinct(), "node", "left_semi"), "near-classes")
     # a doc_id whose texts differ is told apart by its set
     texts = docs.select(F.col(key).alias("node"), F.col(text).alias("text")).join(
         classes.select("node", "digest"), "node"
@@ -185,53 +190,77 @@ def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text:
         .agg(F.first("hashes").alias("hashes")),
         "near-sets",
     )
-    sizes = _side(classes, "a"), _side(classes, "b")
-    roots, linked = classes.select("node", F.col("node").alias("root")), False
-    n_entries = shared.count()
-    for turn in range(ROUNDS):
-        found = shared.join(roots, "node")
-        if _open_pairs(found) <= CHEAP * n_entries:
-            break
-        order = F.struct(F.xxhash64("root", F.lit(turn)).alias("h"), "root", F.col("node").alias("b"))
-        centres = (
-            found.groupBy("key")
-            .agg(F.min(order).alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
-            .where("low <> high")
-            .select("key", "c.b", F.col("c.root").alias("b_root"))
-        )
-        met = (
-            found.join(centres, "key")
-            .where("root <> b_root")
-            .select(F.col("node").alias("a"), "b")
-            .distinct()
-            .join(sizes[0], "a")
-            .join(sizes[1], "b")
-            .where(_screened("a", "b"))
-            .groupBy("a")
-            .agg(F.min_by("b", differing("a_slots", "b_slots")).alias("b"))
-        )
-        new = stage(_confirmed(met, sets), "near-links")
-        if new.isEmpty():
-            break
-        roots, linked = _merged(roots, new), True
-    found = shared.join(roots, "node")
-    split = found.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    open_rows = found.join(split, "key").select("key", "node", "root")
-    left = open_rows.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
-    right = open_rows.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
-    rest = left.join(right, "key").where("a_root < b_root").select("a", "b").distinct()
-    rest = rest.join(sizes[0], "a").join(sizes[1], "b").where(_screened("a", "b")).select("a", "b")
-    last = stage(_confirmed(rest, sets), "near-links")
-    if not last.isEmpty():
-        return _merged(roots, last)
-    return roots if linked else None
-
-
-def _open_pairs(found: DataFrame) -> int:
-    """Pairs of classes, once for each key that they share, in different components."""
-    held = found.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key")
-    pairs = held.agg((F.pow(F.sum("n"), F.lit(2)) - F.sum(F.col("n") * F.col("n"))).alias("twice"))
-    return int((pairs.agg(F.sum("twice")).first()[0] or 0) // 2)
+    centres = shared.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("centre"))
+    near = stage(shared.join(centres, "key").select("node", "centre").distinct(), "near-centres")
+    met = (
+        near.select(F.col("node").alias("a"), F.col("centre.node").alias("b"))
+        .where("a <> b")
+        .join(_side(classes, "a"), "a")
+        .join(_side(classes, "b"), "b")
+        .where(_screened("a", "b"))
+        .groupBy("a")
+        .agg(F.min_by("b", differing("a_slots", "b_slots")).alias("b"))
+    )
+    roots = classes.select("node", F.col("node").alias("root"))
+    roots = _merged(roots, stage(_confirmed(met, sets), "near-links"))
+    members = classes.join(sets, "node").select("node", "slots", "hashes")
+    seats = needed_seats(shared.join(roots, "node"), homes(near, classes))
+    blocks = seats.join(members, "node").groupBy("low", "high")
+    return _merged(roots, stage(blocks.applyInPandas(links_of_block, "a bigint, b bigint"), "near-links"))
+
+
+def homes(near: DataFrame, classes: DataFrame) -> DataFrame:
+    """node, home: classes around one centre share a home, of BLOCK shingles or so; more of them are split."""
+    families = near.groupBy("node").agg(F.min("centre").alias("family")).join(classes.select("node", "n"), "node")
+    parts = families.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit(1)), "parts")
+    return stage(
+        families.join(parts, "family").select("node", F.xxhash64("family.node", part).alias("home")), "near-homes"
+    )
+
+
+def needed_seats(found: DataFrame, home: DataFrame) -> DataFrame:
+    """low, high, node, root, home: the classes that two homes must compare, as they share a key across components."""
+    held = stage(found.join(home, "node"), "near-held")
+    at_key = held.groupBy("key", "home").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    open_keys = at_key.groupBy("key").agg(F.min("least").alias("l"), F.max("most").alias("m")).where("l <> m")
+    at_key = at_key.join(open_keys.select("key"), "key")
+    other = at_key.select("key", *[F.col(c).alias(f"other_{c}") for c in ("home", "least", "most")])
+    pairs = at_key.join(other, "key").where("least(least, other_least) <> greatest(most, other_most)")
+    seats = held.join(pairs.select("key", "home", "other_home"), ["key", "home"])
+    return seats.select(
+        F.least("home", "other_home").alias("low"), F.greatest("home", "other_home").alias("high"), "node", "root", "home"
+    ).distinct()
+
+
+def links_of_block(rows: pd.DataFrame) -> pd.DataFrame:
+    """Confirmed links between components of two homes' classes; enough of them to join what is joined."""
+    rows = rows.sort_values("node", ignore_index=True)
+    slots = np.array(rows["slots"].tolist(), np.uint16)
+    sizes = rows["hashes"].map(len).to_numpy()
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    ids = np.unique(np.concatenate(rows["hashes"].tolist()), return_inverse=True)[1]
+    own, present = np.unique(rows["root"].to_numpy(), return_inverse=True)[1], np.zeros(ids.max() + 1, bool)
+    far = rows["home"].to_numpy() != rows["low"][0] if rows["low"][0] != rows["high"][0] else None
+    links = []
+    for a in range(1, len(rows)):
+        able = (own[:a] != own[a]) & (5 * np.minimum(sizes[:a], sizes[a]) >= 4 * np.maximum(sizes[:a], sizes[a]))
+        if far is not None:
+            able &= far[:a] != far[a]
+        others = np.flatnonzero(able)
+        others = others[(slots[others] != slots[a]).sum(axis=1) <= SCREEN]
+        mine = ids[starts[a] : starts[a + 1]]
+        present[mine] = True
+        for b in others:
+            if own[a] != own[b]:
+                both = np.count_nonzero(present[ids[starts[b] : starts[b + 1]]])
+                if 100 * both >= 80 * (sizes[a] + sizes[b] - both):
+                    links.append((a, b))
+                    own[own == own[b]] = own[a]
+        present[mine] = False
+    ends = np.array(links, np.int64).reshape(-1, 2)
+    nodes = rows["node"].to_numpy()
+    return pd.DataFrame({"a": nodes[ends[:, 0]], "b": nodes[ends[:, 1]]})
 
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -256,10 +285,7 @@ def near_groups(docs: DataFrame, words: int = 5, key: str = "doc_id", text: str
     )
     roots = class_links(docs, classes, words, key, text)
     named = classes.select("digest", "node")
-    if roots is None:
-        named = named.withColumnRenamed("node", "component_id")
-    else:
-        named = named.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
+    named = named.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
     return (
         sketches.select("doc", "digest", "n")
         .join(named, "digest", "left")
