@@ -22,7 +22,7 @@ among pairs that meet, and no pair leaves a block unconfirmed.
 
 Scale. One pass over the texts makes sketches; entries shuffle as (key, class),
 and only keys with two classes go on. Texts are read a second time for classes
-that have a partner, joined on their id. Full sets go to blocks, not to pairs or
+that have a partner, joined on their id; their sets are computed after that join. Full sets go to blocks, not to pairs or
 keys. Homes hold about `BLOCK` shingles, so a group that has more is split over
 as many tasks as it has pairs of homes; homes that are in one component do not
 meet. Hot keys are minima per key and joins that adaptive execution can split;
@@ -46,7 +46,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from lotwise.llm.common import whole_text
 from lotwise.llm.components import components
@@ -98,6 +97,10 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return ((least >> np.uint64(20)) & np.uint64(0xFFFF)).astype(np.int32)
 
 
+def digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 SKETCH = "n bigint, digest binary, slots array<int>"
 
 
@@ -110,7 +113,7 @@ def sketched(text: str, words: int) -> Column:
             for t in batch:
                 found = shingle_hashes(t.as_py() or "", words, hashes)
                 n.append(len(found))
-                digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                digests.append(digest(found))
                 slots.append(signature(found) if len(found) else None)
             yield pa.StructArray.from_arrays(
                 [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(slots, pa.list_(pa.int32()))],
@@ -121,15 +124,23 @@ def sketched(text: str, words: int) -> Column:
 
 
 def full_set(text: str, words: int) -> Column:
-    @F.arrow_udf(ArrayType(LongType()))
+    """The digest and the sorted hashes of a text's set."""
+
+    @F.arrow_udf("digest binary, hashes array<bigint>")
     def hashes_of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes = WordHashes()
         for batch in texts:
-            yield pa.array(
-                [shingle_hashes(t.as_py() or "", words, hashes).view(np.int64) for t in batch], pa.list_(pa.int64())
+            found = [shingle_hashes(t.as_py() or "", words, hashes) for t in batch]
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array([digest(f) for f in found], pa.binary()),
+                    pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64())),
+                ],
+                ["digest", "hashes"],
             )
 
-    return hashes_of(whole_text(text))
+    # not deterministic to the optimizer, which would else compute the sets of all texts below the join
+    return hashes_of.asNondeterministic()(whole_text(text))
 
 
 def entries(classes: DataFrame) -> DataFrame:
@@ -166,6 +177,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of pairs a, b those whose full sets have 100 * shared >= 80 * all."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
+    right = right.join(pairs.select("b").distinct(), "b", "left_semi")
     both = F.size(F.array_intersect("ha", "hb"))
     return (
         pairs.join(left, "a")
@@ -179,17 +191,12 @@ def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text:
     """node, root for every class that shares a key with another."""
     shared = stage(entries(classes), "near-entries")
     classes = stage(classes.join(shared.select("node").distinct(), "node", "left_semi"), "near-classes")
-    # a doc_id whose texts differ is told apart by its set
-    texts = docs.select(F.col(key).alias("node"), F.col(text).alias("text")).join(
-        classes.select("node", "digest"), "node"
-    )
-    sets = stage(
-        texts.select("node", "digest", full_set("text", words).alias("hashes"))
-        .where(F.size("hashes") > 0)
-        .groupBy("node")
-        .agg(F.first("hashes").alias("hashes")),
-        "near-sets",
+    # the digest tells texts under one doc_id apart; a text is shuffled, not its set, and only where it has a partner
+    texts = docs.select(F.col(key).alias("node"), whole_text(text).alias("text")).join(
+        classes.select("node", "digest", "slots"), "node"
     )
+    made = texts.distinct().select("node", "digest", "slots", full_set("text", words).alias("s"))
+    sets = stage(made.where("s.digest = digest").select("node", "slots", "s.hashes"), "near-sets")
     centres = shared.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("centre"))
     near = stage(shared.join(centres, "key").select("node", "centre").distinct(), "near-centres")
     met = (
@@ -202,10 +209,9 @@ def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text:
         .agg(F.min_by("b", differing("a_slots", "b_slots")).alias("b"))
     )
     roots = classes.select("node", F.col("node").alias("root"))
-    roots = _merged(roots, stage(_confirmed(met, sets), "near-links"))
-    members = classes.join(sets, "node").select("node", "slots", "hashes")
+    roots = _merged(roots, stage(_confirmed(stage(met, "near-met"), sets), "near-links"))
     seats = needed_seats(shared.join(roots, "node"), homes(near, classes))
-    blocks = seats.join(members, "node").groupBy("low", "high")
+    blocks = seats.join(sets, "node").groupBy("low", "high")
     return _merged(roots, stage(blocks.applyInPandas(links_of_block, "a bigint, b bigint"), "near-links"))
 
 
