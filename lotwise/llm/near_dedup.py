@@ -31,7 +31,8 @@ intermediate tables are written to the shared folder.
 Defined cases. Texts without words, and null texts, have no shingle and are
 linked with nothing. A text with fewer words than a shingle has the whole
 sequence as its only shingle. Rows that repeat a doc_id with the same set are
-one document; rows without a doc_id have no row in the result. Other columns
+one document; with another set they are one more row of that document, linked
+with what any of its sets is. Rows without a doc_id have no row in the result. Other columns
 are ignored. An empty table gives an empty result.
 """
 
@@ -208,7 +209,7 @@ def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text:
         .groupBy("a")
         .agg(F.min_by("b", differing("a_slots", "b_slots")).alias("b"))
     )
-    roots = classes.select("node", F.col("node").alias("root"))
+    roots = classes.select("node", F.col("node").alias("root")).distinct()
     roots = _merged(roots, stage(_confirmed(stage(met, "near-met"), sets), "near-links"))
     seats = needed_seats(shared.join(roots, "node"), homes(near, classes))
     blocks = seats.join(sets, "node").groupBy("low", "high")

@@ -164,6 +164,13 @@ def test_near_groups(docs, texts, empty):
     assert near_dedup.keep_one(docs.where("doc_id is null or doc_id > 12")).count() == 6
 
 
+def test_near_groups_of_a_repeated_id(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    docs = spark.createDataFrame([(5, one), (5, two), (5, two), (3, one + " x"), (7, two + " y"), (9, "z")], ["doc_id", "text"])
+    found = near_dedup.near_groups(docs, words=2).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(3, 3), (5, 3), (5, 3), (7, 3), (9, 9)]
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(20)]
