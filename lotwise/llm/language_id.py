@@ -1,17 +1,22 @@
 """Language identification by prediction by partial matching.
 
-Each language has a tree of byte contexts up to `ORDER` bytes, learned by
-counting in Spark on a bounded sample (`SAMPLE_DOCS` texts of at most
-`SAMPLE_BYTES` bytes, shared equally among at most `MAX_LANGUAGES` languages;
-texts are taken by the order of their hash). Statistics are then frozen: a byte
+Every label that has a text with content is a language. Each has a tree of byte
+contexts up to `ORDER` bytes, learned by counting in Spark on a sample of
+distinct texts of any length: `SAMPLE_DOCS` shared equally among the languages,
+`LEAST_DOCS` for each at least, taken by the order of their hash. Of a text
+longer than `SAMPLE_BYTES`, `SLICES` pieces spread evenly from its beginning to
+its end, of that many bytes together, are counted; shorter ones are counted
+whole. Statistics are then frozen: a byte
 seen n times in a context with t distinct followers and m bytes costs
 -log2(n / (m + t)) bits, one not seen costs the escape -log2(t / (m + t)) and is
 looked for in the next shorter context; after the empty one a byte costs 8 bits.
 The language with the shortest exact code for the whole text is predicted.
 
-Scale. One pass over the texts with the bounded model as broadcast; nothing is
-shuffled but the sample. Texts are worked on in blocks, so long ones need no
-more memory than their bytes.
+Scale. One pass over the texts with the model as broadcast; nothing is shuffled
+but hashes of the labelled texts and the sample. The model's tables hold `GROUP` languages each, so
+its size grows with the sample and not with the square of the number of
+languages. Texts are worked on in blocks, so long ones need no more memory than
+their bytes.
 
 Defined cases. Null texts and texts without a letter are `und` with score 0;
 so is everything if no labelled text was given. All rows stay, repeated ones
@@ -30,7 +35,9 @@ from pyspark.sql import functions as F
 ORDER = 4
 SAMPLE_DOCS = 2400
 SAMPLE_BYTES = 1 << 13
-MAX_LANGUAGES = 128
+SLICES = 8
+LEAST_DOCS = 16
+GROUP = 16
 BLOCK = 1 << 20
 UNKNOWN = "und"
 PREDICTED = "lang string, score double, bits_per_byte double"
@@ -79,8 +86,8 @@ def window_keys(codes: np.ndarray, length: int) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            codes = np.frombuffer(text.encode(), np.uint8).astype(np.int64)
+        for lang, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            codes = np.frombuffer(piece, np.uint8).astype(np.int64)
             for length in range(1, ORDER + 2):
                 keys, n = np.unique(window_keys(codes, length), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
@@ -94,19 +101,26 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def _pieces(text: Column) -> Column:
+    """The bytes of a text; of a long one, pieces spread evenly over it."""
+    data, length = text.cast("binary"), SAMPLE_BYTES // SLICES
+    room = F.octet_length(text) - length
+    starts = [F.floor(room * i / (SLICES - 1)).cast("int") + 1 for i in range(SLICES)]
+    spread = F.array(*[F.substring(data, at, F.lit(length)) for at in starts])
+    return F.when(F.octet_length(text) > SAMPLE_BYTES, spread).otherwise(F.array(data))
+
+
 def window_counts(labelled: DataFrame) -> DataFrame:
-    """lang, length, window, n over a bounded sample of labelled: lang, text."""
-    known = labelled.where("lang is not null and text is not null")
-    langs = [
-        r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    ]
-    each = SAMPLE_DOCS // max(1, len(langs))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    """lang, length, window, n over a sample of labelled: lang, text."""
+    known = labelled.where("lang is not null and octet_length(text) > 0").withColumn("hash", F.xxhash64("text"))
+    hashes = known.select("lang", "hash").distinct()
+    each = max(LEAST_DOCS, SAMPLE_DOCS // max(1, hashes.select("lang").distinct().count()))
+    first = Window.partitionBy("lang").orderBy("hash")
+    wanted = hashes.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= each).drop("rank")
+    # as many rows as the sample has texts
+    taken = known.join(F.broadcast(wanted), ["lang", "hash"]).select("lang", "hash", _pieces(F.col("text")).alias("pieces"))
     sample = (
-        known.where(F.col("lang").isin(langs) & F.octet_length("text").between(1, SAMPLE_BYTES))
-        .select("lang", "text", F.row_number().over(first).alias("rank"))
-        .where(F.col("rank") <= each)
-        .select("lang", "text")
+        taken.groupBy("lang", "hash").agg(F.min("pieces").alias("pieces")).select("lang", F.explode("pieces").alias("piece"))
     )
     return (
         sample.mapInArrow(_count, "lang string, length int, window bigint, n bigint")
@@ -115,7 +129,7 @@ def window_counts(labelled: DataFrame) -> DataFrame:
     )
 
 
-class Model:
+class Tables:
     """Code lengths in bits, one column per language, for windows of 1 .. ORDER + 1 bytes."""
 
     def __init__(self, counts):
@@ -185,8 +199,21 @@ class Model:
         return total
 
 
+class Model:
+    """All languages, in tables of `GROUP` languages; their code lengths do not depend on one another."""
+
+    def __init__(self, counts):
+        self.langs = sorted(counts["lang"].unique())
+        groups = [self.langs[i : i + GROUP] for i in range(0, len(self.langs), GROUP)]
+        self.groups = [Tables(counts[counts["lang"].isin(g)]) for g in groups]
+
+    def text_bits(self, texts: list[bytes]) -> np.ndarray:
+        """Exact code length of each text in each language; empty texts have 0."""
+        return np.hstack([np.zeros((len(texts), 0)), *(g.text_bits(texts) for g in self.groups)])
+
+
 def train(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Model:
-    """Learn from the rows of `labelled`; the model's size is bounded by the sample's."""
+    """Learn from the rows of `labelled`; the model's size is that of the sample's windows."""
     return Model(window_counts(labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"))).toPandas())
 
 

@@ -141,6 +141,29 @@ def test_code_lengths_and_languages(spark, sf_dir, docs, empty):
     assert {r["language"]["lang"] for r in language_id.with_language(docs, nothing).collect()} == {"und"}
 
 
+def test_every_label_is_learned_from_texts_of_any_length(spark, monkeypatch):
+    rng = random.Random(4)
+    alphabets = {f"l{i:03}": "".join(chr(0x4E00 + 40 * i + j) for j in range(30)) for i in range(131)}
+
+    def text(lang, n):
+        return " ".join("".join(rng.choice(alphabets[lang]) for _ in range(5)) for _ in range(n))
+
+    long = {lang: text(lang, 700) for lang in alphabets}
+    rows = [(lang, t) for lang, t in long.items()] + [("l000", long["l000"])] * 50 + [("none", ""), (None, "x")]
+    model = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert min(len(t.encode()) for t in long.values()) > language_id.SAMPLE_BYTES and model.langs == sorted(alphabets)
+    asked = spark.createDataFrame([(lang, text(lang, 40)) for lang in alphabets], "lang string, text string")
+    found = language_id.with_language(asked, model).collect()
+    assert all(r["language"]["lang"] == r["lang"] for r in found)
+    assert language_id.keep_explained(asked, model).count() == len(alphabets)
+    # copies do not take the places of other texts, and the end of a long text counts
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 2)
+    monkeypatch.setattr(language_id, "LEAST_DOCS", 2)
+    some = spark.createDataFrame([("en", "aaaa")] * 9 + [("en", "b" * 20000 + "c")] * 9, "lang string, text string")
+    seen = {r["window"] for r in language_id.window_counts(some).where("length = 1").collect()}
+    assert seen == {ord("a"), ord("b"), ord("c")}
+
+
 def slow_near(texts, words):
     sets = {}
     for i, t in texts.items():
