@@ -13,7 +13,8 @@ distinct text, then the sub-groups' first documents are compared alike, so that
 copies may make up any share of all rows.
 
 Defined cases. A null text is empty, and empty texts are equal. Rows that
-repeat a doc_id with the same text are one document. Rows without a doc_id
+repeat a doc_id with the same text are one document; with different texts they
+are one document per text, each in the group of its own text. Rows without a doc_id
 cannot be named in the result and have no row in it. An empty table gives an
 empty result. Other columns are ignored.
 """
@@ -109,10 +110,10 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (group, doc): each document's first equal one, and that one's text."""
     group, firsts = None, []
     for batch in batches:
-        prints, firsts_out, texts = [], [], []
+        firsts_out, texts = [], []
         for i in range(batch.num_rows):
             own = batch.column(0)[i].as_py()
-            doc, text = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
+            doc, text = batch.column(2)[i].as_py(), batch.column(4)[i].as_py()
             if own != group:
                 group, firsts = own, []
             first = next((d for d, t in firsts if same(t, text)), None)
@@ -124,23 +125,23 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 texts.append(None)
             firsts_out.append(first)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(1), batch.column(2), pa.array(firsts_out, pa.int64()), pa.array(texts, pa.binary())],
-            ["print", "doc", "first", "text"],
+            [*batch.columns[1:4], pa.array(firsts_out, pa.int64()), pa.array(texts, pa.binary())],
+            ["print", "doc", "sha", "first", "text"],
         )
 
 
 def _compared(rows: DataFrame) -> DataFrame:
-    """rows: group, print, doc, text as bytes."""
+    """rows: group, print, doc, sha, text as bytes."""
     return (
-        rows.select("group", "print", "doc", "text")
+        rows.select("group", "print", "doc", "sha", "text")
         .repartition("group")
         .sortWithinPartitions("group", "doc")
-        .mapInArrow(_stream, "print binary, doc bigint, first bigint, text binary")
+        .mapInArrow(_stream, "print binary, doc bigint, sha string, first bigint, text binary")
     )
 
 
 def equal_classes(docs: DataFrame, prints: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc, same_as: for documents that share a fingerprint, the first document with the same text."""
+    """doc, sha, same_as: for documents that share a fingerprint, the first document with the same text."""
     shared = prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1")
     members = (
         prints.join(shared, "print")
@@ -155,10 +156,11 @@ def equal_classes(docs: DataFrame, prints: DataFrame, key: str = "doc_id", text:
     )
     inner = stage(_compared(texts), "equal-texts")
     outer = _compared(inner.where("text is not null").withColumn("group", F.col("print")))
+    # an id has a row per text, and texts of one class have one digest
     return (
-        inner.select("doc", "first")
-        .join(outer.select(F.col("doc").alias("first"), F.col("first").alias("same_as")), "first")
-        .select("doc", "same_as")
+        inner.select("doc", "sha", "first")
+        .join(outer.select(F.col("doc").alias("first"), "sha", F.col("first").alias("same_as")), ["first", "sha"])
+        .select("doc", "sha", "same_as")
         .distinct()
     )
 
@@ -167,9 +169,9 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """One row per document: key, keep_id (largest key among equal texts), group_size, kept, text_sha256."""
     prints = stage(fingerprints(docs, key, text), "fingerprints")
     classes = stage(equal_classes(docs, prints, key, text), "equal-classes")
-    kept = classes.groupBy("same_as").agg(F.max("doc").alias("keep"), F.count("*").alias("size"))
-    found = classes.join(kept, "same_as").select("doc", "keep", "size")
-    return prints.join(found, "doc", "left").select(
+    kept = classes.groupBy("same_as", "sha").agg(F.max("doc").alias("keep"), F.count("*").alias("size"))
+    found = classes.join(kept, ["same_as", "sha"]).select("doc", "sha", "keep", "size")
+    return prints.join(found, ["doc", "sha"], "left").select(
         F.col("doc").alias(key),
         F.coalesce("keep", "doc").alias("keep_id"),
         F.coalesce("size", F.lit(1).cast("bigint")).alias("group_size"),
@@ -180,5 +182,6 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without the rows whose text stays under a larger key; rows without a key stay."""
-    gone = exact_groups(docs, key, text).where("not kept").select(F.col(key).alias("gone"))
-    return docs.join(gone, docs[key] == F.col("gone"), "left_anti")
+    gone = exact_groups(docs, key, text).where("not kept").select(F.col(key).alias("gone"), F.col("text_sha256").alias("of"))
+    same_row = (docs[key] == F.col("gone")) & (F.sha2(whole_text(text), 256) == F.col("of"))
+    return docs.join(gone, same_row, "left_anti")

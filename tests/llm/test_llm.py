@@ -305,6 +305,19 @@ def test_exact_groups(docs, texts, empty):
     assert exact_dedup.exact_groups(empty).count() == 0
 
 
+def test_exact_groups_of_a_repeated_id(spark):
+    rows = [(5, "A"), (5, "B"), (9, "B"), (9, "C"), (2, "C"), (2, "A2"), (5, "B"), (None, "B")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sha = {t: hashlib.sha256(t.encode()).hexdigest() for _, t in rows}
+    got = sorted(map(tuple, exact_dedup.exact_groups(docs).collect()))
+    assert got == sorted([
+        (5, 5, 1, True, sha["A"]), (5, 9, 2, False, sha["B"]), (9, 9, 2, True, sha["B"]),
+        (9, 9, 2, True, sha["C"]), (2, 9, 2, False, sha["C"]), (2, 2, 1, True, sha["A2"]),
+    ])
+    kept = sorted(map(tuple, exact_dedup.keep_one(docs).collect()), key=str)
+    assert kept == [(2, "A2"), (5, "A"), (9, "B"), (9, "C"), (None, "B")]
+
+
 def test_fingerprints_combine_and_collisions_are_told_apart(docs, texts, monkeypatch):
     data = np.random.default_rng(0).integers(0, 256, 70000, np.uint8).tobytes()
     for cut in (0, 1, exact_dedup.CHUNK, 50000, 70000):
