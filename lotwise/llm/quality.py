@@ -12,7 +12,9 @@ documents then shifts the softmax to the prior of the data.
 
 As the mean and the softmax's inputs are linear, a word adds the same amount to
 a document wherever it stands; scoring looks this up for each distinct word in
-a table that is emptied at `TABLE` words. All words of every text count.
+a table that is emptied at `TABLE` words. All words of every text count, with
+all their n-grams, also where a word is a whole unspaced text; words longer than
+`LONG` bytes are summed in blocks of `BLOCK` bytes and not kept in the table.
 
 Scale. Fitting reads the labels, and the texts of the sample through a
 broadcast of its at most 2 * `SAMPLE` ids. Scoring is one pass without a
@@ -43,23 +45,53 @@ SAMPLE_WORDS = 2000
 EPOCHS = 8
 RATE = 0.5
 TABLE = 1 << 19
+LONG = 64
+BLOCK = 1 << 16
+
+#: The table of the byte-wise crc32; its checks are linear, so start and end cancel out.
+_STEP = np.array([zlib.crc32(bytes([b])) ^ zlib.crc32(b"\0") for b in range(256)], np.uint32)
 
 
 def word_features(word: bytes) -> list[int]:
     """Buckets of the word and of its marked character n-grams."""
-    marked = b"<" + word[:64] + b">"
+    marked = b"<" + word + b">"
     out = [zlib.crc32(word) & (BUCKETS - 1)]
     for n in GRAMS:
         out += [zlib.crc32(marked[i : i + n]) & (BUCKETS - 1) for i in range(len(marked) - n + 1)]
     return out
 
 
+def _checks(codes: np.ndarray, n: int) -> np.ndarray:
+    """crc32 of each run of n bytes."""
+    out = np.full(len(codes) - n + 1, 0xFFFFFFFF, np.uint32)
+    for i in range(n):
+        out = _STEP[(out ^ codes[i : len(codes) - n + 1 + i]) & 0xFF] ^ (out >> 8)
+    return ~out
+
+
+def long_features(word: bytes) -> Iterator[np.ndarray]:
+    """What `word_features` gives, in blocks."""
+    yield np.array([zlib.crc32(word) & (BUCKETS - 1)])
+    codes = np.frombuffer(b"<" + word + b">", np.uint8)
+    for low in range(0, len(codes), BLOCK):
+        for n in GRAMS:
+            block = codes[low : low + BLOCK + n - 1]
+            if len(block) >= n:
+                yield _checks(block, n) & np.uint32(BUCKETS - 1)
+
+
 def text_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and the share of each among all its features."""
     words = text.encode().split()
     step = max(1, -(-len(words) // SAMPLE_WORDS))
-    found = [f for w in words[::step] for f in word_features(w)]
-    buckets, n = np.unique(np.array(found, np.int32), return_counts=True)
+    found = [f for w in words[::step] if len(w) <= LONG for f in word_features(w)]
+    counts = np.bincount(np.array(found, np.int64), minlength=BUCKETS)
+    for word in words[::step]:
+        if len(word) > LONG:
+            for block in long_features(word):
+                counts += np.bincount(block, minlength=BUCKETS)
+    buckets = np.flatnonzero(counts).astype(np.int32)
+    n = counts[buckets]
     return buckets, (n / max(1, n.sum())).astype(np.float32)
 
 
@@ -154,8 +186,11 @@ class WordWeights(dict):
         self.per_bucket = model.per_bucket
 
     def __missing__(self, word: bytes) -> complex:
-        found = word_features(word)
         # real: the sum; imaginary: the number of features
+        if len(word) > LONG:
+            blocks = [(self.per_bucket[b].sum(dtype=np.float64), len(b)) for b in long_features(word)]
+            return complex(sum(w for w, _ in blocks), sum(n for _, n in blocks))
+        found = word_features(word)
         out = self[word] = complex(self.per_bucket[found].sum(), len(found))
         return out
 

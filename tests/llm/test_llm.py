@@ -356,6 +356,25 @@ def test_quality(spark, sf_dir, docs, empty):
     assert empty.select(quality.scored(empty, model)).count() == 0
 
 
+def test_quality_reads_unspaced_texts_to_their_end(spark, monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(quality, "BLOCK", 50)
+    for length in (65, 98, 99, 100, 101, 333):
+        word = bytes(rng.randrange(33, 256) for _ in range(length))
+        blocks = [int(b) for block in quality.long_features(word) for b in block]
+        assert sorted(blocks) == sorted(quality.word_features(word)) and len(blocks) == 3 * length + 1
+    same = "".join(chr(0x4E00 + rng.randrange(900)) for _ in range(30))
+
+    def text(label):
+        return same + "".join(chr(0x3041 + 40 * label + rng.randrange(40)) for _ in range(200))
+
+    rows = [(i, text(i % 2), i % 2) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    model = quality.train(docs.where("doc_id < 80"), docs.select("doc_id", "label"))
+    found = docs.where("doc_id >= 80").select("label", quality.scored(docs, model).alias("score")).collect()
+    assert all((r["score"] > 0.5) == r["label"] for r in found)
+
+
 def test_pipeline_by_hand(spark, sf_dir):
     """Each stage against its definition over the rows that the one before kept."""
     rows = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
