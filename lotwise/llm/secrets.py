@@ -1,7 +1,9 @@
 """Secrets in texts: patterns, and a battery of randomness tests on what else looks like a key.
 
 Patterns give base spans. Further candidates are unbroken runs of key
-characters of at least 20. Each is read in the narrowest encoding that
+characters, slashes among them, of at least 20, with the `=` that pad them. A
+run with slashes that fails as a whole, as paths do, or touches a base span is
+cut at them, and its parts of at least 20 are candidates. Each is read in the narrowest encoding that
 its characters allow, and three statistics ask whether it could be uniform
 noise of that encoding: chi-squared over equal bins of the alphabet, the number
 of runs above and below its middle, and the serial correlation of neighbours.
@@ -12,7 +14,8 @@ the number of noise candidates of an encoding and length class is about the
 number with p above one half, doubled (`STEPS` classes of p over all documents), and a p-value threshold
 lets through a known number of them; the lowest threshold is taken at which the
 others are at most `FALSE` of what passes. Short candidates, whose tests are
-weak, thereby need a higher p-value than long ones.
+weak, thereby need a higher p-value than long ones. Whole runs have thresholds of
+their own; those of parts come from the runs and the parts of failed runs together.
 
 DataFrame functions only. Scale: one pass over the texts writes the spans per
 document; the classes of p, length and encoding are a table of fixed size.
@@ -38,7 +41,9 @@ ASSIGN = (
 ASSIGN_VALUE = 6
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # a run that starts with the mark, all of it
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
-CANDIDATE = r"(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-]{20,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+#: What a run with slashes is cut into.
+PART = r"(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-]{20,}(?:={1,2}$)?"
 STEPS = 20
 FALSE = 0.1
 #: Characters in the order of their code; bins and middles follow from it.
@@ -146,26 +151,34 @@ def _overlaps(span: Column, others: Column) -> Column:
     return F.exists(others, lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"]))
 
 
-def candidates(text: Column, base: Column) -> Column:
-    """Runs of key characters that touch no base span, with a digit and a letter."""
-    runs = F.filter(
-        spans(text, CANDIDATE, 3),
-        lambda s: s["found"].rlike("[0-9]") & s["found"].rlike("[A-Za-z]") & ~_overlaps(s, base),
+def _coded(found: Column, at: Column, base: Column) -> Column:
+    """Of spans found from `at` on, those with a digit and a letter that touch no base span: start, end, encoding, found without `=`."""
+    placed = F.transform(
+        found,
+        lambda s: F.struct(
+            (at + s["start"]).alias("start"), (at + s["end"]).alias("end"), F.rtrim(s["found"], F.lit("=")).alias("found")
+        ),
     )
-    sizes = F.create_map(*[x for name, (a, _) in ENCODINGS.items() for x in (F.lit(name), F.lit(len(a)))])
-    coded = F.transform(
-        runs,
+    right = F.filter(
+        placed, lambda s: s["found"].rlike("[0-9]") & s["found"].rlike("[A-Za-z]") & ~_overlaps(s, base)
+    )
+    return F.transform(
+        right,
         lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), _encoding(s["found"]).alias("encoding"), s["found"].alias("found")
         ),
     )
+
+
+def _tested(coded: Column) -> Column:
+    sizes = F.create_map(*[x for name, (a, _) in ENCODINGS.items() for x in (F.lit(name), F.lit(len(a)))])
     return F.transform(
         coded,
         lambda s: F.struct(
             s["start"].alias("start"),
             s["end"].alias("end"),
             s["encoding"].alias("encoding"),
-            F.least(F.floor(F.log2((s["end"] - s["start"]).cast("double")) * 2), F.lit(24)).cast("int").alias("length_class"),
+            F.least(F.floor(F.log2(F.length(s["found"]).cast("double")) * 2), F.lit(24)).cast("int").alias("length_class"),
             F.least(
                 F.floor(randomness(_codes(s["found"], s["encoding"]), F.element_at(sizes, s["encoding"]).cast("double")) * STEPS),
                 F.lit(STEPS - 1),
@@ -174,6 +187,23 @@ def candidates(text: Column, base: Column) -> Column:
     )
 
 
+def candidates(text: Column, base: Column) -> Column:
+    """Per run of key characters: whole, the run as a candidate, or empty; parts, of runs with slashes."""
+    coded = F.transform(
+        spans(text, CANDIDATE, 3),
+        lambda r: F.struct(
+            _coded(F.array(r), F.lit(0), base).alias("whole"),
+            _coded(
+                F.when(r["found"].contains("/"), spans(r["found"], PART, 3)).otherwise(F.expr(f"cast(array() as {SPAN})")),
+                r["start"],
+                base,
+            ).alias("parts"),
+        ),
+    )
+    some = F.filter(coded, lambda r: F.size(F.concat(r["whole"], r["parts"])) > 0)
+    return F.transform(some, lambda r: F.struct(_tested(r["whole"]).alias("whole"), _tested(r["parts"]).alias("parts")))
+
+
 def thresholds(found: DataFrame) -> dict[tuple[str, int], int]:
     """found: encoding, length_class, step. The lowest step that passes, for classes where one does.
 
@@ -209,16 +239,29 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         based.select("key", bare.alias("base"), candidates(F.col("text"), F.col("base")).alias("more")),
         "secret-spans",
     )
-    least = thresholds(scanned.select(F.explode("more").alias("m")).select("m.*"))
 
-    def passes(m: Column) -> Column:
+    def passes(m: Column, least: dict[tuple[str, int], int]) -> Column:
         out = F.lit(False)
         for (encoding, length_class), step in sorted(least.items()):
             out = out | ((m["encoding"] == encoding) & (m["length_class"] == length_class) & (m["step"] >= step))
         return out
 
+    runs = scanned.select(F.explode("more").alias("run"))
+    whole = runs.select(F.explode("run.whole").alias("whole")).select("whole.*")
+    least = thresholds(whole)
+    failed = runs.where(~F.exists("run.whole", lambda m: passes(m, least)))
+    least_parts = thresholds(whole.union(failed.select(F.explode("run.parts").alias("part")).select("part.*")))
+
+    passed = F.flatten(
+        F.transform(
+            "more",
+            lambda r: F.when(F.exists(r["whole"], lambda m: passes(m, least)), r["whole"]).otherwise(
+                F.filter(r["parts"], lambda p: passes(p, least_parts))
+            ),
+        )
+    )
     added = F.transform(
-        F.filter("more", passes), lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("kind"), m["end"].alias("end"))
+        passed, lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("kind"), m["end"].alias("end"))
     )
     out = scanned.select("key", "base", added.alias("added"))
     return out.select(

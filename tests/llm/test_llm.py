@@ -272,6 +272,23 @@ def test_secrets(spark):
     assert secrets.find_secrets(docs.where("doc_id < 0")).count() == 0
 
 
+def test_secrets_with_slashes(spark):
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choice(letters) for _ in range(40)) + "=" * (i % 3) for i in range(300)]
+    paths = [f"see https://example.org/{w}/listings/archive/{i % 7}/{w}/page-of-the-archive/index" for i, w in enumerate(WORDS * 4)]
+    inside = "/listings/archive/of-the-page/" + "".join(rng.choice(letters[:62]) for _ in range(43)) + "/index/of/the/archive"
+    base = "deadbeef" * 3 + "/" + keys[0].replace("/", "x").rstrip("=")
+    texts = [f"k {k} ." for k in keys] + paths + [inside, base]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(docs).collect()}
+    slashed = [i for i, k in enumerate(keys) if "/" in k and re.search("[0-9]", k)]
+    assert len(slashed) > 100
+    assert sum(got[i] == f"random:2:{2 + len(keys[i])}" for i in slashed) >= 0.8 * len(slashed)
+    assert {got[len(keys) + i] for i in range(len(paths))} == {""}
+    assert got[len(texts) - 1].startswith("hex:0:24")
+
+
 def test_class_model(docs, empty):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     counts, model = class_lm.train(docs.where("doc_id <> 17"))
