@@ -23,3 +23,12 @@ def whole_text(text: str) -> Column:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; other letters stay."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that `docs` does not have yet, whatever its case."""
+    taken = {c.lower() for c in docs.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name

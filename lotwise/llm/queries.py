@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import class_lm, decontaminate, exact_dedup, language_id, near_dedup, quality, secrets, sentencepiece, substring_dedup, url_filter
+from lotwise.llm import (
+    class_lm, conversation_repair, decontaminate, exact_dedup, hard_negatives, language_id, line_dedup, near_dedup,
+    quality, secrets, sentencepiece, substring_dedup, url_filter,
+)
 from lotwise.llm.common import fold, table
 
 
@@ -110,11 +115,44 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _damaged(conversations: DataFrame) -> DataFrame:
+    """The rows after the damage that their id and turn decide."""
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    hurt = F.crc32(key.cast("binary")) % 20
+    whole = {c: F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text")}
+    text = F.when(hurt == 1, "").when(hurt == 2, F.regexp_replace(whole["text"], "[.!?]", "")).otherwise(whole["text"])
+    copies = F.sequence(F.lit(1), F.when(hurt == 3, 2).otherwise(1))
+    return conversations.where(hurt != 0).select(
+        "conv_id", "turn", F.when(hurt == 4, "user").otherwise(whole["role"]).alias("role"), text.alias("text"),
+        F.explode(copies).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    found = conversation_repair.repair(_damaged(conversations))
+    ids = conversations.select(F.col("conv_id").alias("id")).distinct()
+    nothing = {"audit": "", "repaired_sha256": hashlib.sha256().hexdigest()}
+    columns = [F.coalesce(c, F.lit(nothing.get(c, 0))).cast(t).alias(c) for c, t in found.drop("conv_id").dtypes]
+    return ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(F.col("id").alias("conv_id"), *columns)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.with_kept_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_sentencepiece, op3_language_id, op4_near_dedup, op5_substring_dedup,
         op6_secrets, op7_class_lm, op8_exact_dedup, op9_decontaminate,
-        op10_quality,
+        op10_quality, op11_conversation_repair, op12_line_dedup, op13_hard_negatives,
     )
 }

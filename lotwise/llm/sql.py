@@ -75,3 +75,115 @@ SELECT c.doc_id, c.item_id, c.matched, c.windows, CAST(coalesce(a.slots, 0) AS B
 FROM covered c LEFT JOIN agree a USING (doc_id, item_id)
 WHERE c.matched >= 0.5 * c.windows AND coalesce(a.consistent, 0) >= 0.8 * coalesce(a.slots, 0)
 """
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+SQL["op12_line_dedup"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_BLANKS}) AS key FROM l),
+repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE k.doc_id < keeper) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE keeper IS NULL OR k.doc_id >= keeper), '')) AS kept_sha256
+FROM k LEFT JOIN repeated USING (key) GROUP BY r
+"""
+
+SQL["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER hardest AS INTEGER) AS rank, other AS negative_id,
+       positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+ AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW hardest AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER hardest <= 5
+"""
+
+
+def _after(state: int, cost: str, letter: str, written: str | None) -> str:
+    """The prefix of a state with one more edit: cost, audit, repaired text; NULL stays NULL."""
+    line = "" if written is None else f" || {'chr(10) || ' if state else ''}{written}"
+    return (
+        f"CASE WHEN s{state} IS NOT NULL THEN {{'c': s{state}.c + {cost}, 'a': s{state}.a || '{letter}', "
+        f"'r': s{state}.r{line}}} END"
+    )
+
+
+def _least(offers: list[str]) -> str:
+    """The cheapest offer, of equal ones that with the least audit."""
+    return f"list_min([{', '.join(offers)}])"
+
+
+_ROLE = {0: "'user'", 1: "'user'", 2: "'assistant'", 3: "'user'"}
+_INTO = {0: [], 1: [(0, "s")], 2: [(0, "u"), (1, "u"), (3, "u")], 3: [(2, "a")]}
+
+
+def _edited(target: int) -> str:
+    offers = [_after(target, "4", "D", None)]
+    for source, initial in _INTO[target]:
+        kept = _after(source, "extra", "K", "role || ':' || text")
+        offers.append(f"CASE WHEN NOT gone AND role[1] = '{initial}' THEN {kept} END")
+        if initial != "s":
+            offers.append(f"CASE WHEN NOT gone THEN {_after(source, '3 + extra', 'R', f'{_ROLE[source]} || chr(58) || text')} END")
+    return _least(offers)
+
+
+def _inserted(target: int) -> str:
+    return _least([f"s{target}", *(_after(source, "3", "I", f"{_ROLE[source]} || chr(58)") for source, _ in _INTO[target])])
+
+
+#: No prefix leads to the states after s, u and a yet; insertions lead to the last two.
+_START = "{'c': 0::BIGINT, 'a': '', 'r': ''} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s1"
+
+SQL["op11_conversation_repair"] = rf"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+hashed AS (
+  SELECT *, xor(4294967295, list_reduce(
+      list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT),
+      lambda crc, b: list_reduce(
+        [0, 1, 2, 3, 4, 5, 6, 7], lambda h, i: xor(h >> 1, (h & 1) * 3988292384), xor(crc, b)),
+      4294967295)) % 20 AS hurt FROM raw),
+hit AS (
+  SELECT conv_id, turn, CASE WHEN hurt = 4 THEN 'user' ELSE role END AS role,
+         CASE hurt WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN hurt = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed WHERE hurt <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         rtrim(text, {_BLANKS}) AS bare FROM hit),
+again AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen FROM placed),
+judged AS (
+  SELECT *, bare = '' AS blank, bare <> '' AND seen AS duplicate,
+         bare <> '' AND NOT seen AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au') AS illegal FROM again),
+edits AS (SELECT conv_id, i, role, text, blank OR duplicate AS gone, 3 * truncated::BIGINT AS extra FROM judged),
+path AS (
+  SELECT conv_id, 0::BIGINT AS i, s0, s1, s2, {_inserted(3)} AS s3
+  FROM (SELECT conv_id, s0, s1, {_after(0, "3", "I", "'user:'")} AS s2, s1 AS s3 FROM (SELECT DISTINCT conv_id, {_START} FROM judged))
+  UNION ALL
+  SELECT conv_id, i, s0, s1, s2, {_inserted(3)} FROM (
+    SELECT conv_id, i, s0, s1, {_inserted(2)} AS s2, s3 FROM (
+      SELECT p.conv_id, e.i, {", ".join(f"{_edited(t)} AS s{t}" for t in range(4))}
+      FROM path p JOIN edits e ON p.conv_id IS NOT DISTINCT FROM e.conv_id AND e.i = p.i + 1))),
+ends AS (SELECT conv_id, arg_max(list_min([s0, s3]), i) AS best FROM path GROUP BY conv_id),
+faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+         count_if(duplicate) AS duplicate, count_if(truncated) AS truncated, count_if(illegal) AS illegal
+  FROM judged GROUP BY conv_id)
+SELECT o.conv_id, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal"))},
+       coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(best.r, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN faults f ON o.conv_id IS NOT DISTINCT FROM f.conv_id
+LEFT JOIN ends n ON o.conv_id IS NOT DISTINCT FROM n.conv_id
+"""
