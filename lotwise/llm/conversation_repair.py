@@ -21,8 +21,9 @@ the running SHA-256 of its repaired text, so texts are read once and not kept.
 
 Scale. Texts are shuffled once, by conversation, and streamed in order: a task
 holds one row, four states and the letters of one audit, however long the
-conversation is, as the past that all states share is written out and its
-nodes freed. Duplicates are found without texts: rows are counted per
+conversation is, as the past that all states share is written out and its nodes
+freed (states that no cheapest repair can go through are dropped, so that this
+past grows; only while nothing but deletions is open does it not). Duplicates are found without texts: rows are counted per
 conversation, role, digest and turn, partially before the shuffle, and come to
 the stream as marks that precede their rows. The digest of a conversation's
 whole repaired text is sequential by its definition, so one conversation's rows
@@ -174,9 +175,21 @@ class Repair:
             offers.append((3 if s == 2 else 2, RESTORED + more, s, REROLE, f"{WRITES[s]}:{text}"))
         self.states = self._best(offers)
         self._insert()
+        self._prune()
         if max(node.depth for _, node, _ in self.states.values()) >= self.due:
             self._write_out()
 
+    def _prune(self) -> None:
+        """Drop the states before the first question once no cheapest repair goes through them.
+
+        Whatever follows them can follow a written answer as well, with at most one kept system row deleted.
+        """
+        answered = self.states[3][0]
+        if 0 in self.states and answered + DELETED < self.states[0][0]:
+            del self.states[0]
+        if 1 in self.states and answered < self.states[1][0]:
+            del self.states[1]
+
     def _write_out(self) -> None:
         """Letters that all states share are final: keep them as bytes and free their nodes."""
         nodes = [node for _, node, _ in self.states.values()]
@@ -196,11 +209,10 @@ class Repair:
 
     def result(self) -> tuple[int, str, str]:
         """Cost, audit and SHA-256 of the repaired text."""
-        cost, node, digest = self.states[0] if 0 in self.states else self.states[3]
-        if 0 in self.states and 3 in self.states:
-            other = self.states[3]
-            if other[0] < cost or other[0] == cost and before(other[1], node):
-                cost, node, digest = other
+        cost, node, digest = self.states[3]
+        nothing = self.states.get(0)
+        if nothing and (nothing[0] < cost or nothing[0] == cost and before(nothing[1], node)):
+            cost, node, digest = nothing
         return cost, (bytes(self.done) + node.letters()).decode(), digest.hexdigest()
 
 
