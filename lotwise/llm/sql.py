@@ -40,40 +40,63 @@ _UNITS = (
 )
 
 
-def _windows(table: str, key: str) -> str:
+def _template(table: str, key: str) -> str:
     return rf"""
-  SELECT id, pos, t[pos + 1 : pos + 8] AS template, raw[pos + 1 : pos + 8] AS raw FROM (
-    SELECT id, raw, t, unnest(range(0, greatest(len(raw) - 8, 0) + 1)) AS pos FROM (
-      SELECT id, raw, list_transform(raw, lambda x, i:
-        CASE WHEN regexp_matches(x, '^[0-9]') THEN '<num>'
-             WHEN lower(rtrim(x, '.!?')) <> rtrim(x, '.!?') AND i > 1 AND right(raw[i - 1], 1) NOT IN ('.', '!', '?')
-               THEN '<name>'
-             WHEN lower(rtrim(x, '.!?')) IN ({_UNITS}) AND i > 1 AND regexp_matches(raw[i - 1], '^[0-9]') THEN '<unit>'
-             ELSE lower(rtrim(x, '.!?')) END) AS t
-      FROM (SELECT {key} AS id, regexp_extract_all(coalesce(text, ''), '[\p{{L}}\p{{N}}]+(?:[.,][0-9]+)*[.!?]?') AS raw
-            FROM {table} WHERE {key} IS NOT NULL)
-      WHERE len(raw) > 0))"""
-
+  SELECT *, list_transform(raw, lambda x, i:
+      CASE WHEN regexp_matches(x, '^[0-9]') THEN '<num>'
+           WHEN i > 1 AND NOT starts_with(x, low[i]) AND right(raw[i - 1], 1) NOT IN ('.', '!', '?') THEN '<name>'
+           WHEN i > 1 AND regexp_matches(raw[i - 1], '^[0-9]') AND low[i] IN ({_UNITS}) THEN '<unit>'
+           ELSE low[i] END) AS t
+  FROM (SELECT DISTINCT id, text, raw, list_transform(raw, lambda x: lower(rtrim(x, '.!?'))) AS low
+        FROM (SELECT {key} AS id, coalesce(text, '') AS text,
+                     regexp_extract_all(coalesce(text, ''), '[\p{{L}}\p{{N}}]+(?:[.,][0-9]+)*[.!?]?') AS raw
+              FROM {table} WHERE {key} IS NOT NULL)
+        WHERE len(raw) > 0)"""
+
+
+_CUT = """
+  low[p + 1 : p + n] AS codes,
+  list_prepend(CASE WHEN t[p + 1] = '<num>' THEN '<num>' ELSE low[p + 1] END, t[p + 2 : p + n]) AS template"""
 
 SQL["op9_decontaminate"] = f"""
-WITH doc AS ({_windows("documents", "doc_id")}),
-item0 AS ({_windows("benchmark", "item_id")}),
-item AS (SELECT *, count(*) OVER (PARTITION BY id) AS windows FROM item0
-         WHERE 2 * len(list_filter(template, lambda t: t[1] <> '<')) >= len(template)),
-both_sides AS (
-  SELECT d.id AS doc_id, i.id AS item_id, i.windows, i.pos, i.template AS kind, i.raw AS ours, d.raw AS theirs
-  FROM (SELECT DISTINCT * FROM doc) d JOIN item i ON d.template = i.template),
-covered AS (SELECT doc_id, item_id, windows, count(DISTINCT pos) AS matched FROM both_sides GROUP BY ALL),
+WITH doc0 AS ({_template("documents", "doc_id")}),
+item0 AS ({_template("benchmark", "item_id")}),
+item1 AS (SELECT id, text, p, n, {_CUT} FROM (
+  SELECT *, least(len(raw), 8) AS n, unnest(range(0, len(raw) - least(len(raw), 8) + 1)) AS p FROM item0)),
+item2 AS (SELECT *, 2 * len(list_filter(template, lambda t: t[1] <> '<')) >= n AS usable FROM item1),
+item3 AS (SELECT *, NOT bool_or(usable) OVER (PARTITION BY id, text) AS literal FROM item2),
+item AS (
+  SELECT *, count(*) OVER (PARTITION BY id, text) AS windows, CASE WHEN literal THEN codes ELSE template END AS key
+  FROM item3 WHERE usable OR literal),
+doc1 AS (SELECT id, text, p, literal, {_CUT} FROM (
+  SELECT doc0.*, n, literal, unnest(range(0, len(raw) - n + 1)) AS p
+  FROM doc0, (SELECT DISTINCT n, literal FROM item) WHERE len(raw) >= n)),
+doc AS (SELECT *, CASE WHEN literal THEN codes ELSE template END AS key FROM doc1),
+found AS (
+  SELECT d.id AS doc_id, d.text AS theirs_of, i.id AS item_id, i.text AS ours_of, windows, i.p AS place, d.p - i.p AS shift,
+         i.literal, i.key AS kind, i.codes AS ours, d.codes AS theirs
+  FROM doc d JOIN item i ON d.key = i.key AND d.literal = i.literal),
+stepped AS (
+  SELECT *, coalesce(shift - lag(shift) OVER (PARTITION BY doc_id, theirs_of, item_id, ours_of ORDER BY shift) > 2, false) AS new
+  FROM found),
+hits AS (
+  SELECT *, sum(new::INT) OVER (PARTITION BY doc_id, theirs_of, item_id, ours_of ORDER BY shift) AS run FROM stepped),
+covered AS (
+  SELECT doc_id, theirs_of, item_id, ours_of, run, windows, count(DISTINCT place) AS matched FROM hits GROUP BY ALL),
 slot AS (
-  SELECT doc_id, item_id, unnest(kind) AS kind, rtrim(unnest(ours), '.!?') AS ours, rtrim(unnest(theirs), '.!?') AS theirs
-  FROM both_sides),
-counted AS (SELECT doc_id, item_id, kind, ours, theirs, count(*) AS n FROM slot WHERE kind[1] = '<' GROUP BY ALL),
-best AS (SELECT doc_id, item_id, kind, ours, max(n) AS most, sum(n) AS n FROM counted GROUP BY ALL),
-agree AS (SELECT doc_id, item_id, sum(n) AS slots, sum(most) AS consistent FROM best GROUP BY ALL)
-SELECT c.doc_id, c.item_id, c.matched, c.windows, CAST(coalesce(a.slots, 0) AS BIGINT) AS slots,
-       CAST(coalesce(a.consistent, 0) AS BIGINT) AS consistent
-FROM covered c LEFT JOIN agree a USING (doc_id, item_id)
-WHERE c.matched >= 0.5 * c.windows AND coalesce(a.consistent, 0) >= 0.8 * coalesce(a.slots, 0)
+  SELECT doc_id, theirs_of, item_id, ours_of, run, unnest(kind) AS kind, unnest(ours) AS ours, unnest(theirs) AS theirs
+  FROM hits WHERE NOT literal),
+counted AS (SELECT *, count(*) AS n FROM slot WHERE kind[1] = '<' GROUP BY ALL),
+best AS (SELECT doc_id, theirs_of, item_id, ours_of, run, kind, ours, max(n) AS most, sum(n) AS n FROM counted GROUP BY ALL),
+agree AS (SELECT doc_id, theirs_of, item_id, ours_of, run, sum(n) AS slots, sum(most) AS consistent FROM best GROUP BY ALL),
+judged AS (
+  SELECT c.doc_id, c.item_id, c.windows, c.matched, CAST(coalesce(consistent, 0) AS BIGINT) AS consistent,
+         CAST(coalesce(slots, 0) AS BIGINT) AS slots
+  FROM covered c LEFT JOIN agree a ON c.doc_id = a.doc_id AND c.theirs_of = a.theirs_of AND c.item_id = a.item_id
+   AND c.ours_of = a.ours_of AND c.run = a.run),
+held AS (SELECT * FROM judged WHERE (matched >= 0.5 * windows OR matched >= 20) AND consistent >= 0.8 * slots)
+SELECT doc_id, item_id, matched, windows, slots, consistent FROM held
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, windows ORDER BY matched DESC, consistent DESC, slots DESC) = 1
 """
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
