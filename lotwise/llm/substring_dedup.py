@@ -341,7 +341,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
         mixed.join(wide, "anchor")
         .select("one.*", "anchor", "wide")
         .groupBy("doc", "code")
-        .agg(F.collect_list(F.struct("anchor", "wide", "start", "length")).alias("cuts"))
+        .agg(F.collect_set(F.struct("anchor", "wide", "start", "length")).alias("cuts"))
     )
     cut = texts.join(wanted, _same_doc(texts, wanted)).select(
         texts["doc"], texts["code"], "text", F.explode("cuts").alias("c")
@@ -376,7 +376,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id",
     spans = (
         repeated_spans(docs, length, key, text)
         .groupBy("doc", "code")
-        .agg(F.collect_list(F.struct("start", (F.col("start") + F.col("length")).alias("end"))).alias("marks"))
+        .agg(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end"))).alias("marks"))
     )
 
     @F.arrow_udf(CUT)
