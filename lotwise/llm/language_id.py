@@ -2,29 +2,32 @@
 
 Every label that has a text with content is a language. Each has a tree of byte
 contexts up to `ORDER` bytes, learned by counting in Spark on a sample of
-distinct texts of any length: `SAMPLE_DOCS` shared equally among the languages,
-`LEAST_DOCS` for each at least, taken by the order of their hash. Of a text
-longer than `SAMPLE_BYTES`, `SLICES` pieces spread evenly from its beginning to
-its end, of that many bytes together, are counted; shorter ones are counted
-whole. Statistics are then frozen: a byte
-seen n times in a context with t distinct followers and m bytes costs
--log2(n / (m + t)) bits, one not seen costs the escape -log2(t / (m + t)) and is
-looked for in the next shorter context; after the empty one a byte costs 8 bits.
-The language with the shortest exact code for the whole text is predicted.
+distinct whole texts: `SAMPLE_DOCS` shared equally among the languages, from
+`LEAST_DOCS` to `MOST_DOCS` for each, taken by the order of their hash.
+Statistics are then frozen: a byte seen n times in a context with t distinct
+followers and m bytes costs -log2(n / (m + t)) bits, one not seen costs the
+escape -log2(t / (m + t)) and is looked for in the next shorter context; after
+the empty one a byte costs 8 bits. The language with the shortest exact code for
+the whole text is predicted.
 
 Scale. One pass over the texts with the model as broadcast; nothing is shuffled
-but hashes of the labelled texts and the sample. The model's tables hold `GROUP` languages each, so
-its size grows with the sample and not with the square of the number of
-languages. Texts are worked on in blocks, so long ones need no more memory than
+but hashes of the labelled texts and the sample. `MOST_DOCS` is what Spark still
+limits before a shuffle, so a language that holds most rows sends that many
+hashes from each task. Tables of `GROUP` languages are built in one task each, as
+float32, and only they reach the driver: their size grows with the sample and not
+with the square of the number of languages. Search tables are made where texts
+are read. Texts are worked on in blocks, so long ones need no more memory than
 their bytes.
 
 Defined cases. Null texts and texts without a letter are `und` with score 0;
-so is everything if no labelled text was given. All rows stay, repeated ones
-too; other columns pass through untouched.
+so is everything if no labelled text was given, and `keep_explained` then keeps
+every text that has a letter. All rows stay, repeated ones too; other columns
+pass through untouched.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +35,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotwise.llm.common import free_name
+from lotwise.operators.staging import stage
+
 ORDER = 4
 SAMPLE_DOCS = 2400
-SAMPLE_BYTES = 1 << 13
-SLICES = 8
 LEAST_DOCS = 16
+#: spark.sql.optimizer.windowGroupLimitThreshold
+MOST_DOCS = 1000
 GROUP = 16
 BLOCK = 1 << 20
 UNKNOWN = "und"
+LETTER = r"\p{L}"
 PREDICTED = "lang string, score double, bits_per_byte double"
 
 
@@ -84,87 +91,93 @@ def window_keys(codes: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+COUNTS = "label int, length int, window bigint, n bigint"
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lang, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            codes = np.frombuffer(piece, np.uint8).astype(np.int64)
-            for length in range(1, ORDER + 2):
-                keys, n = np.unique(window_keys(codes, length), return_counts=True)
+        for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            codes = np.frombuffer(text.as_buffer(), np.uint8)
+            for low in range(0, len(codes), BLOCK):
+                found = []
+                for length in range(1, ORDER + 2):
+                    # windows that end in this block
+                    block = codes[max(0, low - length + 1) : low + BLOCK].astype(np.int64)
+                    keys, n = np.unique(window_keys(block, length), return_counts=True)
+                    found.append((np.full(len(keys), length, np.int32), keys, n))
+                lengths, keys, n = (np.concatenate(part) for part in zip(*found))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(keys), pa.string()),
-                        pa.array(np.full(len(keys), length), pa.int32()),
-                        pa.array(keys),
-                        pa.array(n, pa.int64()),
-                    ],
-                    ["lang", "length", "window", "n"],
+                    [pa.array(np.full(len(keys), label, np.int32)), pa.array(lengths), pa.array(keys), pa.array(n, pa.int64())],
+                    ["label", "length", "window", "n"],
                 )
 
 
-def _pieces(text: Column) -> Column:
-    """The bytes of a text; of a long one, pieces spread evenly over it."""
-    data, length = text.cast("binary"), SAMPLE_BYTES // SLICES
-    room = F.octet_length(text) - length
-    starts = [F.floor(room * i / (SLICES - 1)).cast("int") + 1 for i in range(SLICES)]
-    spread = F.array(*[F.substring(data, at, F.lit(length)) for at in starts])
-    return F.when(F.octet_length(text) > SAMPLE_BYTES, spread).otherwise(F.array(data))
-
-
-def window_counts(labelled: DataFrame) -> DataFrame:
-    """lang, length, window, n over a sample of labelled: lang, text."""
+def sample(labelled: DataFrame) -> DataFrame:
+    """lang, text: the distinct texts of labelled (lang, text) that are learned."""
     known = labelled.where("lang is not null and octet_length(text) > 0").withColumn("hash", F.xxhash64("text"))
     hashes = known.select("lang", "hash").distinct()
-    each = max(LEAST_DOCS, SAMPLE_DOCS // max(1, hashes.select("lang").distinct().count()))
+    share = SAMPLE_DOCS // max(1, hashes.select("lang").distinct().count())
     first = Window.partitionBy("lang").orderBy("hash")
-    wanted = hashes.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= each).drop("rank")
-    # as many rows as the sample has texts
-    taken = known.join(F.broadcast(wanted), ["lang", "hash"]).select("lang", "hash", _pieces(F.col("text")).alias("pieces"))
-    sample = (
-        taken.groupBy("lang", "hash").agg(F.min("pieces").alias("pieces")).select("lang", F.explode("pieces").alias("piece"))
-    )
-    return (
-        sample.mapInArrow(_count, "lang string, length int, window bigint, n bigint")
-        .groupBy("lang", "length", "window")
-        .agg(F.sum("n").alias("n"))
-    )
+    most = min(MOST_DOCS, max(LEAST_DOCS, share))
+    wanted = hashes.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= most).drop("rank")
+    taken = known.join(stage(wanted, "language-sample"), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    return taken.select("lang", "text")
+
+
+def window_counts(texts: DataFrame, langs: list[str]) -> DataFrame:
+    """label (place in langs), length, window, n over texts: lang, text."""
+    labels = texts.sparkSession.createDataFrame(list(enumerate(langs)), "label int, lang string")
+    rows = texts.join(labels, "lang").select("label", F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(_count, COUNTS).groupBy("label", "length", "window").agg(F.sum("n").alias("n"))
 
 
 class Tables:
     """Code lengths in bits, one column per language, for windows of 1 .. ORDER + 1 bytes."""
 
-    def __init__(self, counts):
-        self.langs = sorted(counts["lang"].unique())
-        self.tables: list[KeyTable] = []
-        self.bits: list[np.ndarray] = []
-        self.escapes: list[tuple[KeyTable, np.ndarray]] = []
-        column = {lang: i for i, lang in enumerate(self.langs)}
+    def __init__(self, langs: list[str], counts: pa.Table, first: int = 0):
+        """`counts` has the labels from `first` on."""
+        self.langs = langs
+        self.sorted: list[tuple[np.ndarray, ...]] = []
+        self.found: list[tuple[KeyTable, KeyTable]] = []
+        by_length = counts.column("length").to_numpy()
         for length in range(1, ORDER + 2):
-            part = counts[counts["length"] == length]
-            keys, row = np.unique(part["window"].to_numpy(np.int64), return_inverse=True)
-            seen = np.zeros((len(keys), len(self.langs)))
-            seen[row, part["lang"].map(column).to_numpy(np.int64)] = part["n"].to_numpy()
+            own = by_length == length
+            window, label, n = (counts.column(c).to_numpy()[own] for c in ("window", "label", "n"))
+            keys, row = np.unique(window, return_inverse=True)
+            seen = np.zeros((len(keys), len(langs)), np.float32)
+            seen[row, label - first] = n
             contexts, home = np.unique(keys >> 8, return_inverse=True)
-            total, kinds = np.zeros((2, len(contexts), len(self.langs)))
+            total, kinds = np.zeros((2, len(contexts), len(langs)), np.float32)
             np.add.at(total, home, seen)
-            np.add.at(kinds, home, (seen > 0) * 1.0)
+            np.add.at(kinds, home, (seen > 0).astype(np.float32))
             weight = np.maximum(total + kinds, 1)
-            escape = np.where(kinds > 0, -np.log2(np.maximum(kinds, 1) / weight), 0.0)
+            escape = np.where(kinds > 0, -np.log2(np.maximum(kinds, 1) / weight), 0).astype(np.float32)
             shorter = self.lengths(keys & ((1 << 8 * (length - 1)) - 1), length - 1)
             direct = -np.log2(np.maximum(seen, 1) / weight[home])
-            self.bits.append(np.where(seen > 0, direct, escape[home] + shorter).astype(np.float32))
-            self.tables.append(KeyTable(keys))
-            self.escapes.append((KeyTable(contexts), escape.astype(np.float32)))
+            self.sorted.append((keys, np.where(seen > 0, direct, escape[home] + shorter).astype(np.float32), contexts, escape))
+            self._index()
+
+    def _index(self) -> None:
+        self.found += [(KeyTable(keys), KeyTable(contexts)) for keys, _, contexts, _ in self.sorted[len(self.found) :]]
+
+    def __getstate__(self):
+        return self.langs, self.sorted
+
+    def __setstate__(self, state):
+        self.langs, self.sorted = state
+        self.found = []
 
     def lengths(self, keys: np.ndarray, length: int) -> np.ndarray:
         """Bits of the last byte of each window of that length, for each language."""
         out = np.zeros((len(keys), len(self.langs)), np.float32)
         todo = np.arange(len(keys))
         while length and len(todo):
-            rows = self.tables[length - 1].find(keys)
+            windows, contexts = self.found[length - 1]
+            _, bits, _, escape = self.sorted[length - 1]
+            rows = windows.find(keys)
             hit = rows >= 0
-            out[todo[hit]] += self.bits[length - 1][rows[hit]]
+            out[todo[hit]] += bits[rows[hit]]
             todo, keys = todo[~hit], keys[~hit]
-            contexts, escape = self.escapes[length - 1]
             rows = contexts.find(keys >> 8)
             seen = rows >= 0
             out[todo[seen]] += escape[rows[seen]]
@@ -175,6 +188,7 @@ class Tables:
 
     def text_bits(self, texts: list[bytes]) -> np.ndarray:
         """Exact code length of each text in each language; empty texts have 0."""
+        self._index()
         starts = np.cumsum([0, *map(len, texts)])
         codes = np.frombuffer(b"".join(texts), np.uint8)
         total = np.zeros((len(texts), len(self.langs)))
@@ -202,10 +216,9 @@ class Tables:
 class Model:
     """All languages, in tables of `GROUP` languages; their code lengths do not depend on one another."""
 
-    def __init__(self, counts):
-        self.langs = sorted(counts["lang"].unique())
-        groups = [self.langs[i : i + GROUP] for i in range(0, len(self.langs), GROUP)]
-        self.groups = [Tables(counts[counts["lang"].isin(g)]) for g in groups]
+    def __init__(self, groups: list[Tables]):
+        self.groups = groups
+        self.langs = [lang for g in groups for lang in g.langs]
 
     def text_bits(self, texts: list[bytes]) -> np.ndarray:
         """Exact code length of each text in each language; empty texts have 0."""
@@ -214,7 +227,21 @@ class Model:
 
 def train(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     """Learn from the rows of `labelled`; the model's size is that of the sample's windows."""
-    return Model(window_counts(labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"))).toPandas())
+    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    texts = stage(sample(rows), "language-texts")
+    langs = [r["lang"] for r in texts.select("lang").distinct().orderBy("lang").collect()]
+    if not langs:
+        return Model([])
+    parts = [langs[i : i + GROUP] for i in range(0, len(langs), GROUP)]
+
+    def build(key: tuple, counts: pa.Table) -> pa.Table:
+        group = key[0].as_py()
+        tables = Tables(parts[group], counts, group * GROUP)
+        return pa.table({"group": pa.array([group], pa.int32()), "tables": [pickle.dumps(tables, pickle.HIGHEST_PROTOCOL)]})
+
+    counts = window_counts(texts, langs).withColumn("group", F.floor(F.col("label") / GROUP).cast("int"))
+    built = counts.groupBy("group").applyInArrow(build, "group int, tables binary")
+    return Model([pickle.loads(r["tables"]) for r in built.orderBy("group").collect()])
 
 
 def predicted(docs: DataFrame, model: Model, text: str = "text") -> Column:
@@ -242,7 +269,7 @@ def predicted(docs: DataFrame, model: Model, text: str = "text") -> Column:
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     guess = predict(whole)
     nothing = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte"))
-    lettered = whole.rlike(r"\p{L}") if model.langs else F.lit(False)
+    lettered = whole.rlike(LETTER) if model.langs else F.lit(False)
     return F.when(lettered, guess).otherwise(nothing)
 
 
@@ -264,9 +291,12 @@ def with_language(docs: DataFrame, model: Model, text: str = "text", into: str =
 
 
 def keep_explained(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs without texts that are `und` or cost as much in every language as bytes at random."""
-    column = "_language"
-    while column in docs.columns:
-        column += "_"
+    """docs without texts that are `und` or cost as much in every language as bytes at random.
+
+    Without a language only texts without a letter go.
+    """
+    if not model.langs:
+        return docs.where(F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(LETTER))
+    column = free_name(docs, "language")
     found = with_language(docs, model, text, column)
     return found.where((F.col(column)["lang"] != UNKNOWN) & (F.col(column)["bits_per_byte"] < 8)).drop(column)

@@ -121,14 +121,15 @@ def slow_bits(counts, lang, data):
     return bits
 
 
-def test_code_lengths_and_languages(spark, sf_dir, docs, empty):
+def test_code_lengths_and_languages(spark, monkeypatch, sf_dir, docs, empty):
     held = QUERIES["op3_language_id"](spark, sf_dir).where("held_out")
     truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     rows = held.join(truth, "doc_id").collect()
     assert sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.97 * len(rows)
     some = spark.createDataFrame([("en", "the cat is on the mat"), ("de", "der und die das"), (None, "x")], "lang string, text string")
-    counts = language_id.window_counts(some).toPandas()
-    model = language_id.Model(counts)
+    counts = language_id.window_counts(language_id.sample(some), ["de", "en"]).toPandas()
+    counts["label"] = counts["label"].map(["de", "en"].__getitem__)
+    model = language_id.train(some)
     data = [b"", b"the", b"der \xff zzz the mat", b"q", b"the cat is" * 30]
     got = model.text_bits(data)
     for i, d in enumerate(data):
@@ -139,6 +140,10 @@ def test_code_lengths_and_languages(spark, sf_dir, docs, empty):
     assert all(0 <= f["score"] <= 1 for f in found.values())
     nothing = language_id.train(empty)
     assert {r["language"]["lang"] for r in language_id.with_language(docs, nothing).collect()} == {"und"}
+    assert {r[0] for r in docs.join(language_id.keep_explained(docs, nothing), "doc_id", "left_anti").select("doc_id").collect()} == {4, 5, 6, 15, None}
+    monkeypatch.setattr(language_id, "BLOCK", 7)
+    blocks = language_id.window_counts(language_id.sample(some), ["de", "en"]).toPandas()
+    assert sorted(blocks.itertuples(index=False)) == sorted(language_id.window_counts(some.where("lang is not null"), ["de", "en"]).toPandas().itertuples(index=False))
 
 
 def test_every_label_is_learned_from_texts_of_any_length(spark, monkeypatch):
@@ -151,7 +156,7 @@ def test_every_label_is_learned_from_texts_of_any_length(spark, monkeypatch):
     long = {lang: text(lang, 700) for lang in alphabets}
     rows = [(lang, t) for lang, t in long.items()] + [("l000", long["l000"])] * 50 + [("none", ""), (None, "x")]
     model = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
-    assert min(len(t.encode()) for t in long.values()) > language_id.SAMPLE_BYTES and model.langs == sorted(alphabets)
+    assert min(len(t.encode()) for t in long.values()) > 8000 and model.langs == sorted(alphabets)
     asked = spark.createDataFrame([(lang, text(lang, 40)) for lang in alphabets], "lang string, text string")
     found = language_id.with_language(asked, model).collect()
     assert all(r["language"]["lang"] == r["lang"] for r in found)
@@ -160,7 +165,7 @@ def test_every_label_is_learned_from_texts_of_any_length(spark, monkeypatch):
     monkeypatch.setattr(language_id, "SAMPLE_DOCS", 2)
     monkeypatch.setattr(language_id, "LEAST_DOCS", 2)
     some = spark.createDataFrame([("en", "aaaa")] * 9 + [("en", "b" * 20000 + "c")] * 9, "lang string, text string")
-    seen = {r["window"] for r in language_id.window_counts(some).where("length = 1").collect()}
+    seen = {r["window"] for r in language_id.window_counts(language_id.sample(some), ["en"]).where("length = 1").collect()}
     assert seen == {ord("a"), ord("b"), ord("c")}
 
 
@@ -356,8 +361,8 @@ def test_decontamination(spark, empty):
     docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id bigint, text string, item_id int")
     items = spark.createDataFrame([(1, item), (2, None), (3, "12 30"), (4, odd)], "item_id bigint, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.passages(docs, items).collect()}
-    assert got == {(0, 1), (1, 1), (7, 4)}
-    assert decontaminate.without_passages(docs, items).count() == 5
+    assert got == {(0, 1), (1, 1), (5, 3), (7, 4)}
+    assert decontaminate.without_passages(docs, items).count() == 4
     assert decontaminate.passages(docs, empty.selectExpr("doc_id as item_id", "text")).count() == 0
     assert decontaminate.passages(empty, items).count() == 0
 
