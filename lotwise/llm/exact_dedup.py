@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from lotwise.llm.common import whole_text
+from lotwise.llm.common import free_name, whole_text
 from lotwise.operators.staging import stage
 
 CHUNK = 1 << 14
@@ -182,6 +182,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without the rows whose text stays under a larger key; rows without a key stay."""
-    gone = exact_groups(docs, key, text).where("not kept").select(F.col(key).alias("gone"), F.col("text_sha256").alias("of"))
-    same_row = (docs[key] == F.col("gone")) & (F.sha2(whole_text(text), 256) == F.col("of"))
+    doc, of = free_name(docs, "doc"), free_name(docs, "of")
+    gone = exact_groups(docs, key, text).where("not kept").select(F.col(key).alias(doc), F.col("text_sha256").alias(of))
+    same_row = (F.col(key) == F.col(doc)) & (F.sha2(whole_text(text), 256) == F.col(of))
     return docs.join(gone, same_row, "left_anti")

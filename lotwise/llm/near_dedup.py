@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import whole_text
+from lotwise.llm.common import free_name, whole_text
 from lotwise.llm.components import components
 from lotwise.operators.staging import stage
 
@@ -307,5 +307,6 @@ def near_groups(docs: DataFrame, words: int = 5, key: str = "doc_id", text: str
 
 def keep_one(docs: DataFrame, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one document of each component; rows without a key stay."""
-    gone = near_groups(docs, words, key, text).where("not kept").select(F.col(key).alias("gone"))
-    return docs.join(gone, docs[key] == F.col("gone"), "left_anti")
+    doc = free_name(docs, "doc")
+    gone = near_groups(docs, words, key, text).where("not kept").select(F.col(key).alias(doc))
+    return docs.join(gone, F.col(key) == F.col(doc), "left_anti")
