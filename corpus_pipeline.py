@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lotwise.llm import decontaminate, exact_dedup, language_id, near_dedup, sentencepiece
-from lotwise.llm.common import fold, table
+from lotwise.llm.common import fold, free_name, table
 from lotwise.llm.queries import piece_model
 from lotwise.operators.staging import stage
 
@@ -33,9 +34,10 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids and what these decode to."""
-    coded = sentencepiece.with_pieces(docs, piece_model())
-    return coded.select(*docs.columns, "pieces.ids", "pieces.n_tokens", "pieces.decoded")
+    """The documents with their token ids and what these decode to, which replace columns of those names."""
+    into = free_name(docs, "pieces")
+    coded = sentencepiece.with_pieces(docs, piece_model(), into=into)
+    return coded.withColumns({c: F.col(into)[c] for c in ("ids", "n_tokens", "decoded")}).drop(into)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
