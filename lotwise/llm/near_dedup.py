@@ -58,7 +58,8 @@ DISTANCE = 2 * CHUNKS - 1
 SCREEN = 24
 #: Shingles of the classes that make one home.
 BLOCK = 1 << 18
-TABLE = 1 << 19
+TABLE = 1 << 18
+BYTES = 1 << 24
 PART = 1 << 15
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -67,9 +68,15 @@ _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class WordHashes(dict):
+    """Hashes of words; emptied at `TABLE` words or `BYTES` bytes of them."""
+
+    held = 0
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) > TABLE:
+        self.held += len(word)
+        if len(self) > TABLE or self.held > BYTES:
             self.clear()
+            self.held = len(word)
         out = self[word] = xxhash.xxh64_intdigest(word)
         return out
 
@@ -152,7 +159,7 @@ def entries(classes: DataFrame) -> DataFrame:
     ]
     every = classes.select("node", F.explode(F.array(*keys)).alias("key")).repartition("key")
     shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return every.join(shared, "key")
+    return every.join(shared.hint("merge"), "key")
 
 
 def differing(left: str, right: str) -> Column:
@@ -178,11 +185,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of pairs a, b those whose full sets have 100 * shared >= 80 * all."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    right = right.join(pairs.select("b").distinct(), "b", "left_semi")
+    right = right.join(pairs.select("b").distinct().hint("merge"), "b", "left_semi")
     both = F.size(F.array_intersect("ha", "hb"))
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
+        pairs.join(left.hint("merge"), "a")
+        .join(right.hint("merge"), "b")
         .where(100 * both >= 80 * (F.size("ha") + F.size("hb") - both))
         .select("a", "b")
     )
@@ -191,7 +198,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text: str) -> DataFrame:
     """node, root for every class that shares a key with another."""
     shared = stage(entries(classes), "near-entries")
-    classes = stage(classes.join(shared.select("node").distinct(), "node", "left_semi"), "near-classes")
+    classes = stage(classes.join(shared.select("node").distinct().hint("merge"), "node", "left_semi"), "near-classes")
     # the digest tells texts under one doc_id apart; a text is shuffled, not its set, and only where it has a partner
     texts = docs.select(F.col(key).alias("node"), whole_text(text).alias("text")).join(
         classes.select("node", "digest", "slots"), "node"
@@ -199,42 +206,42 @@ def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text:
     made = texts.distinct().select("node", "digest", "slots", full_set("text", words).alias("s"))
     sets = stage(made.where("s.digest = digest").select("node", "slots", "s.hashes"), "near-sets")
     centres = shared.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("centre"))
-    near = stage(shared.join(centres, "key").select("node", "centre").distinct(), "near-centres")
+    near = stage(shared.join(centres.hint("merge"), "key").select("node", "centre").distinct(), "near-centres")
     met = (
         near.select(F.col("node").alias("a"), F.col("centre.node").alias("b"))
         .where("a <> b")
-        .join(_side(classes, "a"), "a")
-        .join(_side(classes, "b"), "b")
+        .join(_side(classes, "a").hint("merge"), "a")
+        .join(_side(classes, "b").hint("merge"), "b")
         .where(_screened("a", "b"))
         .groupBy("a")
         .agg(F.min_by("b", differing("a_slots", "b_slots")).alias("b"))
     )
     roots = classes.select("node", F.col("node").alias("root")).distinct()
     roots = _merged(roots, stage(_confirmed(stage(met, "near-met"), sets), "near-links"))
-    seats = needed_seats(shared.join(roots, "node"), homes(near, classes))
-    blocks = seats.join(sets, "node").groupBy("low", "high")
+    seats = needed_seats(shared.join(roots.hint("merge"), "node"), homes(near, classes))
+    blocks = seats.join(sets.hint("merge"), "node").groupBy("low", "high")
     return _merged(roots, stage(blocks.applyInPandas(links_of_block, "a bigint, b bigint"), "near-links"))
 
 
 def homes(near: DataFrame, classes: DataFrame) -> DataFrame:
     """node, home: classes around one centre share a home, of BLOCK shingles or so; more of them are split."""
-    families = near.groupBy("node").agg(F.min("centre").alias("family")).join(classes.select("node", "n"), "node")
+    families = near.groupBy("node").agg(F.min("centre").alias("family")).join(classes.select("node", "n").hint("merge"), "node")
     parts = families.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(1)), "parts")
     return stage(
-        families.join(parts, "family").select("node", F.xxhash64("family.node", part).alias("home")), "near-homes"
+        families.join(parts.hint("merge"), "family").select("node", F.xxhash64("family.node", part).alias("home")), "near-homes"
     )
 
 
 def needed_seats(found: DataFrame, home: DataFrame) -> DataFrame:
     """low, high, node, root, home: the classes that two homes must compare, as they share a key across components."""
-    held = stage(found.join(home, "node"), "near-held")
+    held = stage(found.join(home.hint("merge"), "node"), "near-held")
     at_key = held.groupBy("key", "home").agg(F.min("root").alias("least"), F.max("root").alias("most"))
     open_keys = at_key.groupBy("key").agg(F.min("least").alias("l"), F.max("most").alias("m")).where("l <> m")
-    at_key = at_key.join(open_keys.select("key"), "key")
+    at_key = at_key.join(open_keys.select("key").hint("merge"), "key")
     other = at_key.select("key", *[F.col(c).alias(f"other_{c}") for c in ("home", "least", "most")])
-    pairs = at_key.join(other, "key").where("least(least, other_least) <> greatest(most, other_most)")
-    seats = held.join(pairs.select("key", "home", "other_home"), ["key", "home"])
+    pairs = at_key.join(other.hint("merge"), "key").where("least(least, other_least) <> greatest(most, other_most)")
+    seats = held.join(pairs.select("key", "home", "other_home").hint("merge"), ["key", "home"])
     return seats.select(
         F.least("home", "other_home").alias("low"), F.greatest("home", "other_home").alias("high"), "node", "root", "home"
     ).distinct()
@@ -272,11 +279,11 @@ def links_of_block(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """roots after the links' components are joined."""
-    ends = links.join(roots.withColumnRenamed("node", "a").withColumnRenamed("root", "ra"), "a")
-    ends = ends.join(roots.withColumnRenamed("node", "b").withColumnRenamed("root", "rb"), "b")
+    ends = links.join(roots.withColumnRenamed("node", "a").withColumnRenamed("root", "ra").hint("merge"), "a")
+    ends = ends.join(roots.withColumnRenamed("node", "b").withColumnRenamed("root", "rb").hint("merge"), "b")
     moved = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).toDF("root", "to")
     return stage(
-        roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "near-roots"
+        roots.join(moved.hint("merge"), "root", "left").select("node", F.coalesce("to", "root").alias("root")), "near-roots"
     )
 
 
@@ -292,10 +299,10 @@ def near_groups(docs: DataFrame, words: int = 5, key: str = "doc_id", text: str
     )
     roots = class_links(docs, classes, words, key, text)
     named = classes.select("digest", "node")
-    named = named.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
+    named = named.join(roots.hint("merge"), "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
     return (
         sketches.select("doc", "digest", "n")
-        .join(named, "digest", "left")
+        .join(named.hint("merge"), "digest", "left")
         .select(
             F.col("doc").alias(key),
             F.col("n").alias("n_shingles"),
