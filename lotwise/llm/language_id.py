@@ -44,7 +44,7 @@ LEAST_DOCS = 16
 #: spark.sql.optimizer.windowGroupLimitThreshold
 MOST_DOCS = 1000
 GROUP = 16
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 UNKNOWN = "und"
 LETTER = r"\p{L}"
 PREDICTED = "lang string, score double, bits_per_byte double"
@@ -54,7 +54,7 @@ class KeyTable:
     """Integer keys to row numbers, by open addressing in arrays; -1 if absent."""
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
+        bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 2))))
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys = np.full(1 << bits, -1, np.int64)
         self.rows = np.full(1 << bits, -1, np.int32)

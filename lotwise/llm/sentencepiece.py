@@ -4,8 +4,9 @@ If no piece of the model holds a word marker after another character, no
 piece crosses the start of a marked word, so a text's segmentation is that of
 its marked words one after another. Each distinct marked word of a batch is
 segmented once by the library, and ids are joined back by position. The table
-lives as long as the task and is emptied at `TABLE` entries, so memory is
-bounded; nothing is shuffled, and a word that makes up a third of all words
+lives as long as the task and is emptied at `TABLE` entries or `BYTES` characters
+and ids' bytes, whichever comes first, so memory is bounded by these and one group
+of texts; nothing is shuffled, and a word that makes up a third of all words
 costs one lookup each time. Where a model has a crossing piece, or rewrites its
 input, texts are segmented whole.
 
@@ -25,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-TABLE = 1 << 19
+TABLE = 1 << 18
+BYTES = 1 << 24
 #: Characters of the texts that are looked up together.
 GROUP = 1 << 20
 ENCODED = "ids binary, n_tokens bigint, decoded string"
@@ -63,23 +65,24 @@ def little_endian(ids: list[int]) -> bytes:
 class ChunkTable:
     """Distinct marked words with their ids, little-endian, and their decoded text."""
 
-    def __init__(self, model: str, size: int = TABLE):
-        self.lib, self.size = processor(model), size
+    def __init__(self, model: str, size: int = TABLE, room: int = BYTES):
+        self.lib, self.size, self.room, self.held = processor(model), size, room, 0
         self.whole = not chunkable(model)
         self.ids: dict[str, bytes] = {}
         self.changed: dict[str, str] = {}  # the words that do not decode to themselves
         self.begin, self.end = little_endian([self.lib.bos_id()]), little_endian([self.lib.eos_id()])
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.ids) + len(chunks) > self.size:
-            self.ids, self.changed = {}, {}  # a group of texts finds all its words, however many
+        if len(self.ids) + len(chunks) > self.size or self.held > self.room:
+            self.ids, self.changed, self.held = {}, {}, 0  # a group of texts finds all its words, however many
         new = [c for c in chunks if c not in self.ids]
         # the library puts one marker before what it is given, unless that is empty
         coded = self.lib.encode([c[1:] for c in new], num_threads=1)
         if " " in chunks and " " in new:
             coded[new.index(" ")] = [self.lib.piece_to_id(MARK)]
         for chunk, ids, text in zip(new, coded, self.lib.decode(coded, num_threads=1) if new else ()):
-            self.ids[chunk] = little_endian(ids)
+            self.ids[chunk] = coded_bytes = little_endian(ids)
+            self.held += len(chunk) + len(coded_bytes)
             if " " + text != chunk:
                 self.changed[chunk] = " " + text
 

@@ -91,7 +91,7 @@ def test_pieces_are_the_librarys(docs, texts, empty):
 def test_pieces_of_odd_texts():
     rng, lib = random.Random(1), sentencepiece.processor(piece_model())
     parts = ["a", "the", "é", " ", "   ", "▁", "\n", "中", "🙂", "<s>", "\x00", " " * 20, "x" * 30, "<0x0A>"]
-    table = sentencepiece.ChunkTable(piece_model(), size=50)
+    table = sentencepiece.ChunkTable(piece_model(), size=50, room=200)
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(2000)]
     for text, (ids, decoded) in zip(texts, table.encode(texts), strict=True):
         want = lib.encode(text, add_bos=True, add_eos=True)
@@ -142,8 +142,14 @@ def test_code_lengths_and_languages(spark, monkeypatch, sf_dir, docs, empty):
     assert {r["language"]["lang"] for r in language_id.with_language(docs, nothing).collect()} == {"und"}
     assert {r[0] for r in docs.join(language_id.keep_explained(docs, nothing), "doc_id", "left_anti").select("doc_id").collect()} == {4, 5, 6, 15, None}
     monkeypatch.setattr(language_id, "BLOCK", 7)
-    blocks = language_id.window_counts(language_id.sample(some), ["de", "en"]).toPandas()
-    assert sorted(blocks.itertuples(index=False)) == sorted(language_id.window_counts(some.where("lang is not null"), ["de", "en"]).toPandas().itertuples(index=False))
+    text = b"one text that is longer than a block " * 3
+    batch = language_id.pa.RecordBatch.from_arrays([language_id.pa.array([0]), language_id.pa.array([text])], ["label", "text"])
+    blocks = collections.Counter()
+    for counted in language_id._count(iter([batch])):
+        for row in counted.to_pylist():
+            blocks[row["length"], row["window"]] += row["n"]
+    windows = [(n, int.from_bytes(text[i : i + n], "big")) for n in range(1, language_id.ORDER + 2) for i in range(len(text) - n + 1)]
+    assert blocks == collections.Counter(windows)
 
 
 def test_every_label_is_learned_from_texts_of_any_length(spark, monkeypatch):
@@ -185,6 +191,14 @@ def slow_near(texts, words):
     return {i: (len(sets[i]), root[i], root[i] == i) for i in sets}
 
 
+def test_word_hashes_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(near_dedup, "BYTES", 1000)
+    hashes = near_dedup.WordHashes()
+    for i in range(500):
+        hashes[b"%d" % i * 30]
+        assert sum(map(len, hashes)) <= 1100
+
+
 def test_near_groups(docs, texts, empty):
     got = {r[0]: tuple(r)[1:] for r in near_dedup.near_groups(docs, 2).collect()}
     assert got == slow_near(texts, 2)
