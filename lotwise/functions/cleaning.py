@@ -139,7 +139,7 @@ def county_from_address(
         first, second = (F.try_element_at(tokens, F.lit(i)) for i in (1, 2))
         one = F.when(first["known"], first["word"]).when(
             F.lower(first["raw"]).contains("co."),
-            F.nullif(F.initcap(F.substring(first["raw"], 4, 1 << 30)), F.lit("")),
+            F.initcap(F.substring(first["raw"], 4, 1 << 30)),
         )
         numbered = F.when(
             second["raw"].rlike(r"^[+-]?\d+$"), F.concat_ws(" ", first["word"], second["raw"])
@@ -153,6 +153,24 @@ def county_from_address(
     return once(F.transform(words(part), marked), pick)
 
 
+def county_tokens(address: Column, position: int = -1) -> Column:
+    """The words of the comma part of `address` at `position`."""
+    return words(F.try_element_at(F.split(address, ","), F.lit(position)))
+
+
+def county_of_tokens(tokens: Column, known: Column) -> Column:
+    """The county of a part's words, given the place (from 1) of the first one that names a county, or NULL."""
+
+    def pick(t: Column) -> Column:
+        first, second = (F.try_element_at(t, F.lit(i)) for i in (1, 2))
+        bare = F.when(F.lower(first).contains("co."), F.initcap(F.substring(first, 4, 1 << 30)))
+        name = F.initcap(F.try_element_at(t, known))
+        numbered = second.rlike(r"^[+-]?\d+$") & (known == 1) & (F.size(t) == 2)
+        return F.when(known.isNull(), F.when(F.size(t) == 1, bare)).when(numbered, F.concat_ws(" ", name, second)).otherwise(name)
+
+    return once(tokens, pick)
+
+
 def county_either(address: Column, vocabulary: Sequence[str] = tuple(fixed.COUNTIES)) -> Column:
     """County of the last comma part, else of the one before it (postcode last)."""
     return F.coalesce(
@@ -207,15 +225,19 @@ def date_from_text(text: Column, formats: Mapping[str, Sequence[str]] = DATE_FOR
     """
     bare = F.regexp_replace(F.regexp_replace(strip(text), WEEKDAY, ""), TIME_OF_DAY, "")
     bare = F.regexp_replace(bare, ORDINAL, "$1")
-    return F.coalesce(
-        *[
-            F.when(bare.rlike(shape), F.coalesce(*[F.try_to_date(bare, f) for f in tried]))
-            for shape, tried in formats.items()
-        ]
-    )
+
+    def parse(date: Column) -> Column:
+        found = None
+        for shape, tried in formats.items():
+            value = F.coalesce(*[F.try_to_date(date, f) for f in tried])
+            found = F.when(date.rlike(shape), value) if found is None else found.when(date.rlike(shape), value)
+        return found
+
+    return once(bare, parse)
 
 
 def date_status(text: Column) -> Column:
+    """Whether a text is a date."""
     return F.when(date_from_text(text).isNotNull(), "parsed").when(text.isNotNull(), "other")
 
 

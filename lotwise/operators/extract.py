@@ -165,30 +165,44 @@ def portal_b_listings(pages: DataFrame) -> DataFrame:
 
 
 def sold_register(pages: DataFrame) -> DataFrame:
-    """The price is the second of the marked spans."""
-    return page_cards(pages, SOLD).select(
+    """The price is the second of the marked spans. What is no price or no date says so and keeps its text."""
+    price = F.col("raw_price")
+    texts = page_cards(pages, SOLD).withColumns({"raw_price": nth_text("span", 2), "raw_date": nth_text("date")})
+    return texts.select(
         "page_id",
         "url",
         "card_no",
-        cleaning.date_from_text(nth_text("date")).alias("Date"),
+        cleaning.date_from_text(F.col("raw_date")).alias("Date"),
+        cleaning.date_status(F.col("raw_date")).alias("date_status"),
         cleaning.strip(nth_text("address")).alias("Address"),
-        cleaning.price_from_text(nth_text("span", 2)).alias("Price"),
+        cleaning.price_from_text(price).alias("Price"),
+        *_price_outcome(price),
         F.col("page_id").cast("int").alias("Page"),
     )
 
 
+def _price_outcome(raw: Column) -> list[Column]:
+    return [
+        cleaning.price_or_sentinel(raw, fixed.PORTAL_B_ON_APPLICATION, fixed.PORTAL_B_SENTINEL).alias("price_text"),
+        cleaning.price_status(raw, fixed.PORTAL_B_ON_APPLICATION).alias("price_status"),
+    ]
+
+
 def change_register(pages: DataFrame) -> DataFrame:
     """First item: change in euro and percent. Second item: old and new price."""
     first, second = F.lit(0), F.lit(1)
     percent = cleaning.percent_from_text(nth_text("item_span", 2, first))
     euro = cleaning.price_from_text(nth_text("item_span", 1, first))
-    return page_cards(pages, CHANGE).select(
+    texts = page_cards(pages, CHANGE).withColumns({"raw_price": nth_text("item_span", 2, second), "raw_date": nth_text("date")})
+    return texts.select(
         "page_id",
         "url",
         "card_no",
-        cleaning.date_from_text(nth_text("date")).alias("Date"),
+        cleaning.date_from_text(F.col("raw_date")).alias("Date"),
+        cleaning.date_status(F.col("raw_date")).alias("date_status"),
         nth_text("address").alias("Address"),
-        cleaning.price_from_text(nth_text("item_span", 2, second)).alias("New_price"),
+        cleaning.price_from_text(F.col("raw_price")).alias("New_price"),
+        *_price_outcome(F.col("raw_price")),
         cleaning.price_from_text(nth_text("item_span", 1, second)).alias("Old_price"),
         cleaning.signed_change(euro, percent).alias("change_eur"),
         percent.alias("change_pct"),

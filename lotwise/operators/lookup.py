@@ -7,11 +7,13 @@ beyond it a sort-merge join with skew splitting takes over.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.functions.cleaning import lookup_key
-from lotwise.sources.files import county_lookup
+from lotwise.functions.cleaning import county_of_tokens, county_tokens, lookup_key
+from lotwise.sources.files import FILE_ORDER, county_lookup
 
 
 def last_wins(dim: DataFrame, key: str, value: str, order: str) -> DataFrame:
@@ -30,10 +32,32 @@ def add_province(df: DataFrame, dim: DataFrame | None = None, county: str = "Cou
     if dim is None:
         dim = F.broadcast(county_lookup(df.sparkSession))
     else:
-        dim = last_wins(dim.withColumn("_at", F.monotonically_increasing_id()), "County", "Province", "_at")
+        if FILE_ORDER not in dim.columns:
+            dim = dim.withColumn(FILE_ORDER, F.monotonically_increasing_id())
+        dim = last_wins(dim, "County", "Province", FILE_ORDER)
     return lookup_left(df, dim, lookup_key(F.col(county)), "County", "Province")
 
 
+def add_county(
+    df: DataFrame, vocabulary: DataFrame, keys: Sequence[str], address: str = "Address", position: int = -1, into: str = "County"
+) -> DataFrame:
+    """The county that an address names, out of a vocabulary table (its first column) of any size.
+
+    The same rules as `cleaning.county_from_address`, whose vocabulary is part of the plan: here the words of the
+    address are joined with the table, each also without its last character, and the first that is known decides.
+    `keys` tell the rows of `df` apart. Only words and keys are shuffled beside the table, and the planner
+    broadcasts the table while its size allows.
+    """
+    rows = df.withColumn("_words", county_tokens(F.col(address), position))
+    words = rows.select(*keys, F.posexplode("_words").alias("_at", "_word")).withColumn("_word", F.initcap("_word"))
+    spelled = F.array(F.col("_word"), F.substring(F.col("_word"), F.lit(1), F.length("_word") - 1))
+    asked = words.select(*keys, (F.col("_at") + 1).alias("_at"), F.explode(spelled).alias("_word"))
+    known = vocabulary.select(F.col(vocabulary.columns[0]).alias("_word")).dropna().distinct()
+    first = asked.join(known, "_word", "left_semi").groupBy(*keys).agg(F.min("_at").alias("_at"))
+    found = rows.join(first, list(keys), "left")
+    return found.withColumn(into, county_of_tokens(F.col("_words"), F.col("_at"))).drop("_words", "_at")
+
+
 def exclude_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Rows whose `column` is not among `keys`. NULLs go too, once there are any keys.
 

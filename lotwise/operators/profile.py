@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -66,6 +66,55 @@ def describe_numbers(df: DataFrame) -> DataFrame:
     )
 
 
+def violations(df: DataFrame, rules: Mapping[str, Column], keys: Sequence[str], value: Column) -> DataFrame:
+    """keys, rule, value (of the row, as text): one row per row and rule it breaks, all rules in one pass.
+
+    A rule is a condition that must hold; one that is NULL has nothing to judge and is not broken.
+    """
+    broken = [F.when(~holds, F.lit(name)) for name, holds in rules.items()]
+    names = F.filter(F.array(*broken), lambda name: name.isNotNull())
+    return df.select(*keys, F.explode(names).alias("rule"), value.cast("string").alias("value"))
+
+
+def distinct_sketches(df: DataFrame, columns: Sequence[str], by: Column, bits: int = 12) -> DataFrame:
+    """part, column, sketch: a mergeable sketch of the distinct values of each column in each part, to be stored."""
+    parts = df.groupBy(by.alias("part")).agg(
+        *[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(bits)).alias(c) for c in columns]
+    )
+    return parts.unpivot(["part"], list(columns), "column", "sketch")
+
+
+def merged_counts(sketches: DataFrame) -> DataFrame:
+    """column, estimate: the distinct values of each column over the union of its stored sketches."""
+    merged = sketches.groupBy("column").agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("column", F.hll_sketch_estimate("sketch").alias("estimate"))
+
+
+def value_profile(df: DataFrame, frequent: int = 3) -> DataFrame:
+    """column, dtype, non_null, n_unique, top (the most frequent values and their numbers): A3, A4 and A7 from one scan.
+
+    Each task counts its (column, value) pairs; a value is shuffled once per task that holds it, beside the number
+    of its column, so a column with few values and many rows moves next to nothing. Values pass as text.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(df.columns)])
+    counted = df.select(F.inline(pairs)).groupBy("at", "value").agg(F.count("*").alias("n"))
+    # a filter on the values would go below their counts, and the table be read twice
+    first = Window.partitionBy("at").orderBy(F.col("value").isNull(), F.col("n").desc(), "value")
+    # of a column's values the first few leave each task
+    top = counted.withColumn("rank", F.row_number().over(first)).where((F.col("rank") <= frequent) & F.col("value").isNotNull())
+    tops = top.groupBy("at").agg(F.array_sort(F.collect_list(F.struct("rank", "value", "n"))).alias("top"))
+    sums = counted.groupBy("at").agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
+        F.count("value").alias("n_unique"),
+    )
+    names = df.sparkSession.createDataFrame([(i, c, t) for i, (c, t) in enumerate(df.dtypes)], "at int, column string, dtype string")
+    text = F.array_join(F.transform("top", lambda r: F.concat_ws(":", r["value"], r["n"])), ",")
+    return names.join(sums, "at", "left").join(tops, "at", "left").select(
+        "column", "dtype", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("non_null", "n_unique")],
+        F.coalesce(text, F.lit("")).alias("top"),
+    )
+
+
 def orphans(df: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """Rows with a payload but none of the key columns: values that lost their record."""
     no_key = F.lit(True)
@@ -77,7 +126,10 @@ def orphans(df: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataF
 def change_consistent(
     new: str = "New_price", old: str = "Old_price", euro: str = "change_eur", pct: str = "change_pct"
 ) -> Column:
-    """New minus old is the change in euro, and the percentage is that change's of old, to a hundredth."""
+    """New minus old is the change in euro, and the percentage is that change's of old, to a hundredth.
+
+    NULL where the old price is 0, as there is no percentage then.
+    """
     change = F.col(euro)
-    share = F.round(change * 100 / F.col(old), 2)
+    share = F.round(F.try_divide(change * 100, F.col(old)), 2)
     return (F.col(new) - F.col(old) == change) & (F.abs(share - F.col(pct)) < 0.015)

@@ -76,7 +76,8 @@ def regional_stats(spark, sf):
             *[
                 F.col(f"`{m}_{s}`").alias(f"{m}_{n}")
                 for m in ("Beds", "Baths", "Floor_area", "Price")
-                for s, n in [("count", "count"), ("mean", "mean"), ("50%", "median"), ("max", "max")]
+                for s, n in [("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min"),
+                             ("25%", "p25"), ("50%", "median"), ("75%", "p75"), ("max", "max")]
             ],
         )
     )
@@ -191,9 +192,10 @@ def price_change_signed(spark, sf):
         "l_linenumber",
         "l_shipdate",
         F.when(returned, high).otherwise(low).alias("new"),
-        F.when(returned, low).otherwise(high).alias("old"),
+        # a price of 0 has no percentage
+        F.when(returned, low).when(F.col("l_linenumber") == 5, F.lit(0).cast("bigint")).otherwise(high).alias("old"),
     )
-    percent = F.round((F.col("new") - F.col("old")) * 100 / F.col("old"), 2)
+    percent = F.round(F.try_divide((F.col("new") - F.col("old")) * 100, F.col("old")), 2)
     percent = F.when(F.col("l_linenumber") == 7, percent * 2).otherwise(percent)  # not consistent
     formats = [
         "yyyy-MM-dd", "MM/dd/yyyy", "d MMM yyyy", "MMMM d, yyyy", "yyyy/MM/dd", "d-MMM-yyyy", "yyyy-MM-dd HH:mm:ss",
@@ -476,12 +478,10 @@ def orphan_rows(spark, sf):
 
 @register
 def page_frontier(spark, sf):
-    """One URL per landed page number, in both URL forms."""
-    end = r.table(spark, sf, "pages").agg(F.max("page_id")).first()[0] + 1
-    by_offset = frontier.page_frontier(
-        spark, "https://listings.example.com/for-sale", 0, end, fixed.PAGE_SIZE
-    )
-    by_number = frontier.page_frontier(spark, "https://listings.example.com/sold/page-", 0, end)
+    """One URL per landed page, in both URL forms."""
+    pages = r.table(spark, sf, "pages")
+    by_offset = frontier.landed_frontier(pages, "https://listings.example.com/for-sale", fixed.PAGE_SIZE)
+    by_number = frontier.landed_frontier(pages, "https://listings.example.com/sold/page-")
     return by_offset.withColumnRenamed("url", "offset_url").join(
         by_number.withColumnRenamed("url", "numbered_url"), "page_id"
     )

@@ -191,7 +191,10 @@ def _eight(column: str, name: str) -> str:
 
 def _regional(column: str) -> str:
     return f"""count({column}) AS {column}_count, round(avg({column}::DOUBLE), 4) AS {column}_mean,
+        round(stddev_samp({column}::DOUBLE), 4) AS {column}_std, round(min({column}::DOUBLE), 4) AS {column}_min,
+        round(quantile_cont({column}::DOUBLE, 0.25), 4) AS {column}_p25,
         round(quantile_cont({column}::DOUBLE, 0.5), 4) AS {column}_median,
+        round(quantile_cont({column}::DOUBLE, 0.75), 4) AS {column}_p75,
         round(max({column}::DOUBLE), 4) AS {column}_max"""
 
 
@@ -314,12 +317,12 @@ SQL: dict[str, str] = {
                    floor(l_extendedprice * (1 - l_discount))::BIGINT AS low FROM lineitem),
         priced AS (
             SELECT *, CASE WHEN l_returnflag = 'R' THEN high ELSE low END AS New_price,
-                   CASE WHEN l_returnflag = 'R' THEN low ELSE high END AS Old_price FROM ends)
+                   CASE WHEN l_returnflag = 'R' THEN low WHEN l_linenumber = 5 THEN 0 ELSE high END AS Old_price FROM ends)
         SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS date, New_price, Old_price,
                New_price - Old_price AS change_eur,
-               round((New_price - Old_price) * 100 / Old_price, 2) * CASE l_linenumber WHEN 7 THEN 2 ELSE 1 END
+               round((New_price - Old_price) * 100 / nullif(Old_price, 0), 2) * CASE l_linenumber WHEN 7 THEN 2 ELSE 1 END
                    AS change_pct,
-               l_linenumber <> 7 OR New_price = Old_price AS consistent
+               CASE WHEN Old_price <> 0 THEN l_linenumber <> 7 OR New_price = Old_price END AS consistent
         FROM priced""",
     "province_lookup": """
         WITH c AS (
@@ -435,7 +438,7 @@ SQL: dict[str, str] = {
                'https://listings.example.com/for-sale?from=' || (i * 20)::VARCHAR || '&pageSize=20'
                  AS offset_url,
                'https://listings.example.com/sold/page-' || i::VARCHAR AS numbered_url
-        FROM (SELECT unnest(range(0, (SELECT max(page_id) + 1 FROM pages))) AS i)""",
+        FROM (SELECT DISTINCT page_id AS i FROM pages)""",
     "page_cards": f"""
         WITH found AS (
             SELECT page_id, regexp_extract_all(html, '<li>.*?</li>') AS cards FROM pages),
@@ -468,13 +471,20 @@ SQL: dict[str, str] = {
         FROM customer""",
     "page_sold": """
         SELECT o_orderkey // 20 AS page_id, (o_orderkey % 20)::INTEGER AS card_no,
-               o_orderdate::DATE AS Date, o_orderkey::VARCHAR || ' Main Street & Sons, Cork' AS Address,
-               floor(o_totalprice)::BIGINT AS Price, (o_orderkey // 20)::INTEGER AS Page
+               CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate::DATE END AS Date,
+               CASE WHEN o_orderkey % 11 <> 0 THEN 'parsed' ELSE 'other' END AS date_status,
+               o_orderkey::VARCHAR || ' Main Street & Sons, Cork' AS Address,
+               CASE WHEN o_orderkey % 9 > 1 THEN floor(o_totalprice)::BIGINT END AS Price,
+               CASE o_orderkey % 9 WHEN 0 THEN 'PoA' WHEN 1 THEN 'Sale agreed' ELSE floor(o_totalprice)::BIGINT::VARCHAR END
+                 AS price_text,
+               CASE o_orderkey % 9 WHEN 0 THEN 'on_application' WHEN 1 THEN 'other' ELSE 'parsed' END AS price_status,
+               (o_orderkey // 20)::INTEGER AS Page
         FROM orders""",
     "page_changes": """
         SELECT o_orderkey // 20 AS page_id, (o_orderkey % 20)::INTEGER AS card_no,
-               o_orderdate::DATE AS Date, ' ' || o_orderkey::VARCHAR || ' Main Street, Cork ' AS Address,
-               old_p + delta AS New_price, old_p AS Old_price, delta AS change_eur,
+               o_orderdate::DATE AS Date, 'parsed' AS date_status,
+               ' ' || o_orderkey::VARCHAR || ' Main Street, Cork ' AS Address,
+               (old_p + delta)::VARCHAR AS price_text, 'parsed' AS price_status, old_p + delta AS New_price, old_p AS Old_price, delta AS change_eur,
                round(delta * 100 / old_p, 2) AS change_pct, (o_orderkey // 20)::INTEGER AS Page
         FROM (SELECT *, floor(o_totalprice)::BIGINT AS old_p,
                      floor(floor(o_totalprice)

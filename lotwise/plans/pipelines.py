@@ -3,7 +3,7 @@ except for the small staged tables of the operators it uses."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise import schemas
@@ -11,7 +11,7 @@ from lotwise.functions import cleaning, fixed
 from lotwise.operators import dedup, explore, extract, groups, profile, quantiles, relabel
 from lotwise.operators.lookup import add_province
 from lotwise.operators.staging import stage
-from lotwise.sources.files import null_tokens, read_extract, write_table
+from lotwise.sources.files import null_tokens, read_extract, read_table, write_table
 
 
 def clean_portal_a(raw: DataFrame, counties: DataFrame | None = None) -> DataFrame:
@@ -42,10 +42,17 @@ def clean_portal_b(raw: DataFrame, counties: DataFrame | None = None) -> DataFra
 def clean_sold(raw: DataFrame, counties: DataFrame | None = None) -> DataFrame:
     """First row per address. The county hangs on the address alone, so rows without one go first."""
     located = relabel.with_required(raw, "County", cleaning.county_either(F.col("Address")))
-    first = dedup.keep_first(located, ["Address"], ["src_row"])
+    first = _first_per_address(located)
     return add_province(relabel.relabel(first, "County", fixed.SOLD_COUNTY_PATCH), counties)
 
 
+def _first_per_address(rows: DataFrame) -> DataFrame:
+    """The first row per address: by file, if the rows tell theirs, then by row number, then by what they hold."""
+    order = [c for c in ("src_file", "src_row") if c in rows.columns]
+    rest = [c for c in rows.columns if c not in order and c != "Address"]
+    return dedup.keep_first(rows, ["Address"], [*order, *rest]).drop("src_file")
+
+
 def clean_change(
     raw: DataFrame, counties: DataFrame | None = None, mode: str = "latest"
 ) -> DataFrame:
@@ -53,7 +60,7 @@ def clean_change(
     county = cleaning.strip_county_mark(cleaning.county_either(F.col("Address")))
     located = relabel.with_required(raw, "County", county)
     if mode == "latest":
-        located = dedup.keep_first(located, ["Address"], ["src_row"])
+        located = _first_per_address(located)
     elif mode != "history":
         raise ValueError(f"mode is latest or history, not {mode!r}")
     return add_province(relabel.relabel(located, "County", fixed.CHANGE_COUNTY_PATCH), counties)
@@ -153,16 +160,35 @@ def extract_listings(pages: DataFrame, dataset: str) -> DataFrame:
     return EXTRACTORS[dataset](pages)
 
 
-def clean_extracts(spark: SparkSession, inputs: dict[str, str], out: str) -> None:
-    """Clean each named extract into `out`/<dataset>, then write the combined listings."""
+def clean_extracts(spark: SparkSession, inputs: dict[str, str], out: str, multi_line: bool = True) -> None:
+    """Clean each named extract into `out`/<dataset>, then write the combined listings.
+
+    Fields may hold line breaks, as the portals' do; `multi_line=False` reads large files without any in parallel.
+    Listings are laid out for the explorer: by price within a province.
+    """
+    schemas_of = {}
     for dataset, path in inputs.items():
-        raw = read_extract(spark, path, EXTRACT_SCHEMAS[dataset])
-        write_table(CLEANERS[dataset](raw), f"{out}/{dataset}", ["Province"])
+        raw = read_extract(spark, path, EXTRACT_SCHEMAS[dataset], multi_line)
+        cleaned = CLEANERS[dataset](raw)
+        schemas_of[dataset] = cleaned.schema
+        write_table(cleaned, f"{out}/{dataset}", ["Province"])
     if {"portal_a", "portal_b"} <= inputs.keys():
-        cleaned = [_read_cleaned(spark, out, d) for d in ("portal_a", "portal_b")]
-        write_table(build_all_listings(*cleaned), f"{out}/all_listings", ["Province"])
+        cleaned = [read_table(spark, f"{out}/{d}", schemas_of[d]) for d in ("portal_a", "portal_b")]
+        write_table(build_all_listings(*cleaned), f"{out}/all_listings", ["Province"], sort_by=["Price"])
 
 
-def _read_cleaned(spark: SparkSession, out: str, dataset: str) -> DataFrame:
-    # A partition column comes last, which is where the cleaned schema has it.
-    return spark.read.parquet(f"{out}/{dataset}")
+def counted(rows: DataFrame, counts: Observation) -> DataFrame:
+    """`rows` of a portal, located; `counts` receives how many have no address, no county, and are selected.
+
+    The numbers come with whatever action runs, in its one pass; rows without a county leave after they are counted.
+    """
+    county = cleaning.county_from_address(F.col("Address"))
+    # within generated code the county is computed once, for the counts and the filter
+    located = rows.withColumn("County", county)
+    seen = located.observe(
+        counts,
+        F.count_if(F.col("Address").isNull()).alias("no_address"),
+        F.count_if(F.col("Address").isNotNull() & F.col("County").isNull()).alias("no_county"),
+        F.count_if(F.col("County").isNotNull()).alias("selected"),
+    )
+    return seen.where(F.col("County").isNotNull())

@@ -269,14 +269,17 @@ def portal_b_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sold_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some prices are on application or no price, some dates no date."""
     m = fixed.SOLD_MARKUP
     key = F.col("o_orderkey")
+    price = F.when(key % 9 == 0, "POA").when(key % 9 == 1, "Sale agreed").otherwise(euro(F.floor("o_totalprice")))
+    date = F.when(key % 11 == 0, "soon").otherwise(F.date_format("o_orderdate", "MM/dd/yyyy"))
     card = _card(
         m,
         _element(m, "address", F.concat(F.lit(" "), as_text(key), F.lit(" Main Street &amp; Sons, Cork "))),
-        _element(m, "date", F.concat(F.lit(" "), F.date_format("o_orderdate", "MM/dd/yyyy"))),
+        _element(m, "date", F.concat(F.lit(" "), date)),
         _element(m, "span", "Sold", "tag ng-star-inserted"),
-        _element(m, "span", euro(F.floor("o_totalprice")), "ng-star-inserted price"),
+        _element(m, "span", price, "ng-star-inserted price"),
     )
     cards = table(spark, sf_dir, "orders").select("o_orderkey", card.alias("card"))
     return pages_of(cards, "o_orderkey")

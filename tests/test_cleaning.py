@@ -31,7 +31,7 @@ COUNTY = [
     ("x, Cork 2", "Cork 2", None),
     ("x, DUBLIN 7", "Dublin 7", None),
     ("x, dublin 7 ", "Dublin 7", None),
-    ("x,Co.", None, None),
+    ("x,Co.", "", None),
     ("x,Co.Nowhere", "Nowhere", None),
     ("x,P72 T959", None, None),
     ("Portnashangan", None, None),

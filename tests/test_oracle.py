@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
-from lotwise.plans.driver_queries import QUERIES
-from lotwise.plans.driver_sql import SQL
+from lotwise.plans import driver_queries, driver_sql, lake_queries, lake_sql
+
+QUERIES = {**driver_queries.QUERIES, **lake_queries.QUERIES}
+SQL = {**driver_sql.SQL, **lake_sql.SQL}
 
 # The queries that need the HTML table function; all others stay out of Python.
 TOKENIZED = {
