@@ -126,8 +126,8 @@ def sample(labelled: DataFrame) -> DataFrame:
 
 def window_counts(texts: DataFrame, langs: list[str]) -> DataFrame:
     """label (place in langs), length, window, n over texts: lang, text."""
-    labels = texts.sparkSession.createDataFrame(list(enumerate(langs)), "label int, lang string")
-    rows = texts.join(labels, "lang").select("label", F.col("text").cast("binary").alias("text"))
+    label = (F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int")
+    rows = texts.select(label.alias("label"), F.col("text").cast("binary").alias("text")).where("label >= 0")
     return rows.mapInArrow(_count, COUNTS).groupBy("label", "length", "window").agg(F.sum("n").alias("n"))
 
 

@@ -42,7 +42,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -220,7 +219,7 @@ def class_links(docs: DataFrame, classes: DataFrame, words: int, key: str, text:
     roots = _merged(roots, stage(_confirmed(stage(met, "near-met"), sets), "near-links"))
     seats = needed_seats(shared.join(roots.hint("merge"), "node"), homes(near, classes))
     blocks = seats.join(sets.hint("merge"), "node").groupBy("low", "high")
-    return _merged(roots, stage(blocks.applyInPandas(links_of_block, "a bigint, b bigint"), "near-links"))
+    return _merged(roots, stage(blocks.applyInArrow(links_of_block, "a bigint, b bigint"), "near-links"))
 
 
 def homes(near: DataFrame, classes: DataFrame) -> DataFrame:
@@ -247,15 +246,16 @@ def needed_seats(found: DataFrame, home: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def links_of_block(rows: pd.DataFrame) -> pd.DataFrame:
+def links_of_block(rows: pa.Table) -> pa.Table:
     """Confirmed links between components of two homes' classes; enough of them to join what is joined."""
-    rows = rows.sort_values("node", ignore_index=True)
-    slots = np.array(rows["slots"].tolist(), np.uint16)
-    sizes = rows["hashes"].map(len).to_numpy()
+    rows = rows.sort_by("node").combine_chunks()
+    slots = _flat(rows, "slots").astype(np.uint16).reshape(len(rows), SLOTS)
+    sizes = rows["hashes"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    ids = np.unique(np.concatenate(rows["hashes"].tolist()), return_inverse=True)[1]
+    ids = np.unique(_flat(rows, "hashes"), return_inverse=True)[1]
     own, present = np.unique(rows["root"].to_numpy(), return_inverse=True)[1], np.zeros(ids.max() + 1, bool)
-    far = rows["home"].to_numpy() != rows["low"][0] if rows["low"][0] != rows["high"][0] else None
+    low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
+    far = rows["home"].to_numpy() != low if low != high else None
     links = []
     for a in range(1, len(rows)):
         able = (own[:a] != own[a]) & (5 * np.minimum(sizes[:a], sizes[a]) >= 4 * np.maximum(sizes[:a], sizes[a]))
@@ -274,7 +274,12 @@ def links_of_block(rows: pd.DataFrame) -> pd.DataFrame:
         present[mine] = False
     ends = np.array(links, np.int64).reshape(-1, 2)
     nodes = rows["node"].to_numpy()
-    return pd.DataFrame({"a": nodes[ends[:, 0]], "b": nodes[ends[:, 1]]})
+    return pa.table({"a": nodes[ends[:, 0]], "b": nodes[ends[:, 1]]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+
+def _flat(rows: pa.Table, column: str) -> np.ndarray:
+    """The elements of a list column, one row after the other."""
+    return rows[column].combine_chunks().flatten().to_numpy(zero_copy_only=False)
 
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:

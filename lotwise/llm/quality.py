@@ -6,9 +6,10 @@ of its features' vectors, a softmax over two classes gives the score, and both
 layers are learned together by stochastic gradient descent in numpy.
 
 The classifier is fitted on a bounded sample: of each class the `SAMPLE`
-labelled documents with the smallest hashes of their ids, each by at most
-`SAMPLE_WORDS` words spread over its length. Classes weigh the same in the fit; the share of each among all labelled
-documents then shifts the softmax to the prior of the data.
+labelled documents with the smallest hashes of their ids, each by its whole text
+(`SAMPLE` is within what Spark limits before a shuffle, so a label that most rows
+bear is no hot key). Classes weigh the same in the fit; the share of each among
+all labelled documents then shifts the softmax to the prior of the data.
 
 As the mean and the softmax's inputs are linear, a word adds the same amount to
 a document wherever it stands; scoring looks this up for each distinct word in
@@ -29,6 +30,7 @@ labels). All rows stay; other columns pass through untouched.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,11 +42,10 @@ from pyspark.sql.types import DoubleType
 BUCKETS = 1 << 16
 DIMENSIONS = 8
 GRAMS = (2, 3, 4)
-SAMPLE = 1200
-SAMPLE_WORDS = 2000
+SAMPLE = 1000
 EPOCHS = 8
 RATE = 0.5
-TABLE = 1 << 19
+TABLE = 1 << 18
 LONG = 64
 BLOCK = 1 << 16
 
@@ -82,14 +83,23 @@ def long_features(word: bytes) -> Iterator[np.ndarray]:
 
 def text_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and the share of each among all its features."""
-    words = text.encode().split()
-    step = max(1, -(-len(words) // SAMPLE_WORDS))
-    found = [f for w in words[::step] if len(w) <= LONG for f in word_features(w)]
-    counts = np.bincount(np.array(found, np.int64), minlength=BUCKETS)
-    for word in words[::step]:
+    counts, found, times = np.zeros(BUCKETS, np.int64), [], []
+
+    def add() -> None:
+        np.add.at(counts, np.array(found, np.int64), np.array(times, np.int64))
+        found.clear(), times.clear()
+
+    for word, n in Counter(text.encode().split()).items():
         if len(word) > LONG:
             for block in long_features(word):
-                counts += np.bincount(block, minlength=BUCKETS)
+                counts[:] += n * np.bincount(block, minlength=BUCKETS)
+        else:
+            own = word_features(word)
+            found += own
+            times += [n] * len(own)
+        if len(found) > BLOCK:
+            add()
+    add()
     buckets = np.flatnonzero(counts).astype(np.int32)
     n = counts[buckets]
     return buckets, (n / max(1, n.sum())).astype(np.float32)
@@ -170,9 +180,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         .select("label", "text")
         .mapInArrow(_features, "label int, buckets array<int>, shares array<float>")
         .toArrow()
-        .to_pylist()
+        .combine_chunks()
     )
-    samples = [(r["label"], np.array(r["buckets"], np.int32), np.array(r["shares"], np.float32)) for r in rows]
+    # views of the Arrow buffers, not Python numbers
+    buckets, shares = (rows.column(c).combine_chunks() for c in ("buckets", "shares"))
+    samples = [
+        (label, buckets[i].values.to_numpy(), shares[i].values.to_numpy()) for i, label in enumerate(rows.column("label").to_pylist())
+    ]
     samples = sorted((s for s in samples if len(s[1])), key=lambda s: (s[0], len(s[1]), s[1].tobytes(), s[2].tobytes()))
     total = sum(counted.values())
     return learn(samples, counted.get(1, 0) / total if total else 0.5)

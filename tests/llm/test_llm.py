@@ -392,6 +392,49 @@ def test_quality(spark, sf_dir, docs, empty):
     assert empty.select(quality.scored(empty, model)).count() == 0
 
 
+def slow_learn(samples, prior):
+    """The same steps, feature by feature, in double precision."""
+    rng = np.random.default_rng(1)
+    vectors = (rng.uniform(-1, 1, (quality.BUCKETS, quality.DIMENSIONS)).astype(np.float32) / quality.DIMENSIONS).astype(float)
+    weights, biases = np.zeros((2, quality.DIMENSIONS)), np.zeros(2)
+    n, steps = np.bincount([s[0] for s in samples], minlength=2), quality.EPOCHS * len(samples)
+    for step in range(steps):
+        if step % len(samples) == 0:
+            order = rng.permutation(len(samples))
+        label, buckets, shares = samples[order[step % len(samples)]]
+        mean = sum(s * vectors[b] for b, s in zip(buckets, shares))
+        share = np.exp([w @ mean + c for w, c in zip(weights, biases)])
+        slope = quality.RATE * (1 - step / steps) * len(samples) / (2 * n[label]) * (share / share.sum() - np.eye(2)[label])
+        back = weights.T @ slope
+        for k in (0, 1):
+            weights[k] -= slope[k] * mean
+            biases[k] -= slope[k]
+        for b, s in zip(buckets, shares):
+            vectors[b] -= s * len(buckets) ** 0.5 * back
+    return vectors @ (weights[1] - weights[0]), biases[1] - biases[0] + np.log(prior / (1 - prior))
+
+
+def test_quality_learns_and_scores_by_its_definition(spark):
+    rng = random.Random(9)
+    texts = [prose(rng, 30) if i % 3 else "".join(chr(97 + rng.randrange(6)) for _ in range(90)) for i in range(24)]
+    rows = [(i, t, int(i % 3 > 0)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    model = quality.train(docs, docs.select("doc_id", "label"))
+    grams = [[f for w in t.encode().split() for f in quality.word_features(w)] for t in texts]
+    samples = []
+    for (_, _, label), found in zip(rows, grams):
+        counts = collections.Counter(found)
+        buckets = np.array(sorted(counts), np.int32)
+        shares = np.array([counts[b] / len(found) for b in sorted(counts)], np.float32)
+        samples.append((label, buckets, shares))
+    samples.sort(key=lambda s: (s[0], len(s[1]), s[1].tobytes(), s[2].tobytes()))
+    per_bucket, bias = slow_learn(samples, 16 / 24)
+    got = {r["doc_id"]: r["score"] for r in docs.select("doc_id", quality.scored(docs, model).alias("score")).collect()}
+    for i, found in enumerate(grams):
+        want = 1 / (1 + math.exp(-(sum(per_bucket[f] for f in found) / len(found) + bias)))
+        assert got[i] == pytest.approx(want, abs=1e-3)
+
+
 def test_quality_reads_unspaced_texts_to_their_end(spark, monkeypatch):
     rng = random.Random(6)
     monkeypatch.setattr(quality, "BLOCK", 50)
