@@ -93,8 +93,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 10) == 0
-    counts, model = class_lm.train(docs.where(~held_out))
-    return class_lm.scores(docs, counts, model).withColumn("held_out", held_out)
+    numbered, model = class_lm.train(docs, ~held_out)
+    return class_lm.scores(numbered, model).withColumn("held_out", held_out)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

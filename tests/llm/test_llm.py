@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -308,21 +309,66 @@ def test_secrets_with_slashes(spark):
     assert got[len(texts) - 1].startswith("hex:0:24")
 
 
-def test_class_model(docs, empty):
+@pytest.mark.parametrize("class_words, known", [(4096, 1 << 18), (6, 1 << 18), (6, 20), (0, 0)])
+def test_class_model(docs, empty, class_words, known):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    counts, model = class_lm.train(docs.where("doc_id <> 17"))
-    split = {i: (t or "").encode().lower().split() + [None] for i, t in rows}
-    c = collections.Counter(w for i, t in rows if i not in (17, None) for w in split[i])
+    learn = F.expr("doc_id <> 17")
+    numbered, model = class_lm.train(docs, learn, class_words=class_words, known=known)
+    split = {i: (t or "").encode().lower().split() for i, t in rows}
+    learned = [split[i] for i, _ in rows if i not in (17, None)]
+    c = collections.Counter(w for words in learned for w in [*words, None])
     total, distinct = sum(c.values()), len(c)
-    got = class_lm.scores(docs, counts, model).collect()
+    # every word that was learned has one class of words; the others have one by their shape
+    numbers = model.vocabulary.numbers
+    rest = {bytes(r["word"]): r["class"] for r in model.words.collect()}
+    assert len(numbers) <= known and numbers.keys() | rest.keys() == c.keys() - {None}
+    of = {w: int(model.class_of[i]) for w, i in numbers.items()} | rest
+    assert set(of.values()) <= set(range(class_lm.CLASSES))
+    end = class_lm.KINDS - 1
+
+    def kinds(words):
+        return [end, *(of.get(w, class_lm.CLASSES + class_lm.shape(w)) for w in words), end]
+
+    steps = collections.Counter(p for words in learned for p in zip(kinds(words), kinds(words)[1:]))
+    leaving = collections.Counter()
+    for (a, _), n in steps.items():
+        leaving[a] += n
+    inside, members = collections.Counter(), collections.Counter()
+    for w, n in c.items():
+        inside[end if w is None else of[w]] += n
+        members[end if w is None else of[w]] += 1
+    got = class_lm.scores(numbered, model).collect()
     assert len(got) == len(rows)
     for r in got:
-        words = split[r["doc_id"]]
+        words = [*split[r["doc_id"]], None]
         base = sum(math.log10((c[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in words)
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(words), sum(c[w] > 0 for w in words), total)
-        assert r["base_score"] == pytest.approx(base) and r["score"] < 0
-    counts, model = class_lm.train(empty)
-    assert {r["n_known"] for r in class_lm.scores(docs, counts, model).collect()} == {0}
+        assert r["base_score"] == pytest.approx(base)
+        path = kinds(words[:-1])
+        score = sum(math.log10((steps[p] + 0.1) / (leaving[p[0]] + 0.1 * class_lm.KINDS)) for p in zip(path, path[1:]))
+        score += sum(
+            math.log10((c[w] + 0.1) / (inside[k] + 0.1 * (members[k] + 1))) for w, k in zip(words, path[1:])
+        )
+        assert r["score"] == pytest.approx(score)
+    if class_words == 6 and known == 20:
+        numbered, model = class_lm.train(empty, learn)
+        assert class_lm.scores(numbered, model).count() == 0
+        numbered, model = class_lm.train(docs, F.lit(None).cast("boolean"))
+        assert {r["n_known"] for r in class_lm.scores(numbered, model).collect()} == {0}
+
+
+def test_words_join_the_classes_of_their_neighbours(spark):
+    """Two alternating classes of words: a rare word between those of one is in the class of the other."""
+    pattern = [["a0", "a1", "a2"], ["b0", "b1", "b2"]]
+    texts = [" ".join(pattern[i % 2][(i * k) % 3] for i in range(60)) for k in range(1, 12)]
+    texts += ["a0 rareb a1 b1", "b0 rarea b2 a1"] * 2
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    for known in (8, 1000):  # 8: all but the two
+        _, model = class_lm.train(docs, F.lit(True), class_words=6, known=known)
+        of = {bytes(r["word"]): r["class"] for r in model.words.collect()}
+        of |= {w: int(model.class_of[i]) for w, i in model.vocabulary.numbers.items()}
+        assert of[b"rarea"] in {of[b"a0"], of[b"a1"], of[b"a2"]}
+        assert of[b"rareb"] in {of[b"b0"], of[b"b1"], of[b"b2"]}
 
 
 def test_class_model_beats_unigrams(spark, sf_dir):
