@@ -48,6 +48,7 @@ CLASS_WORDS = 4096
 PASSES = 3
 KNOWN = 1 << 18
 FLUSH = 1 << 19
+ROWS = 512  # texts of a batch that are worked on at a time
 SHAPES = 6
 KINDS = CLASSES + SHAPES + 1  # classes of words, of shapes, and of the end
 RARE = -1  # the class of a word that is only known after a join
@@ -147,7 +148,7 @@ def _number(shared) -> callable:
         vocabulary = shared.value
         known, end = vocabulary.numbers, vocabulary.end
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in _sliced(batches):
             numbered, rare = [], []
             for text in batch.column("text"):
                 words = tokens(text.as_py())
@@ -177,6 +178,12 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(column.to_pylist()), np.int32), lengths
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _before(t: np.ndarray, end: int) -> np.ndarray:
     """The token before each; every text ends with an end, so the first of a text follows one."""
     return np.concatenate([[end], t[:-1]]).astype(t.dtype) if len(t) else t
@@ -201,7 +208,7 @@ def _count_pairs(shared) -> callable:
                 ["left", "right", "n"],
             )
 
-        for batch in batches:
+        for batch in _sliced(batches):
             for left, right in _blocks(coarse[_flat(batch)[0]], end):
                 sums.add(left * size + right)
                 if sums.full():
@@ -285,7 +292,7 @@ def _count_contexts(shared) -> callable:
             word = pa.array([b""] * len(number), pa.binary())
             return rows(number, word, np.append(starts, len(keys)), keys % (2 * KINDS), n)
 
-        for batch in batches:
+        for batch in _sliced(batches):
             t = _flat(batch)[0]
             left, right = class_of[_before(t, end)], class_of[np.append(t[1:], end).astype(t.dtype)]
             own = np.flatnonzero((t >= first) & (t < known))
@@ -349,7 +356,7 @@ def _count_transitions(shared) -> callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         class_of, end = shared.value
         total = np.zeros(KINDS * KINDS, np.int64)
-        for batch in batches:
+        for batch in _sliced(batches):
             for left, right in _blocks(_flat(batch)[0], end):
                 a, b = class_of[left], class_of[right]
                 both = (a != RARE) & (b != RARE)
@@ -372,7 +379,7 @@ def _rare_tokens(shared) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         class_of, end = shared.value
         known = end - SHAPES
-        for batch in batches:
+        for batch in _sliced(batches):
             t, lengths = _flat(batch)
             rare = np.flatnonzero((t >= known) & (t < end))
             text = np.repeat(np.arange(len(lengths)), lengths)[rare]
@@ -557,10 +564,8 @@ def _sum_texts(shared) -> callable:
         # one more row and column, for RARE, of zeros
         steps, weights = np.pad(transitions, (0, 1)), np.append(emission, 0.0)
         end = len(logs) - 1
-        for batch in batches:
+        for batch in _sliced(batches):
             t, lengths = _flat(batch)
-            if not len(t):
-                continue
             starts = np.cumsum(lengths) - lengths
             own = class_of[t]
             counted = np.add.reduceat(logs[t], starts)
