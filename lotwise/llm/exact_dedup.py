@@ -144,7 +144,7 @@ def equal_classes(docs: DataFrame, prints: DataFrame, key: str = "doc_id", text:
     """doc, sha, same_as: for documents that share a fingerprint, the first document with the same text."""
     shared = prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1")
     members = (
-        prints.join(shared, "print")
+        prints.join(shared.hint("merge"), "print")
         .withColumn("part", F.pmod(F.xxhash64("doc"), F.ceil(F.col("n") / SUBGROUP)))
         .select("doc", "sha", "print", F.concat("print", F.col("part").cast("string").cast("binary")).alias("group"))
     )
@@ -159,7 +159,7 @@ def equal_classes(docs: DataFrame, prints: DataFrame, key: str = "doc_id", text:
     # an id has a row per text, and texts of one class have one digest
     return (
         inner.select("doc", "sha", "first")
-        .join(outer.select(F.col("doc").alias("first"), "sha", F.col("first").alias("same_as")), ["first", "sha"])
+        .join(outer.select(F.col("doc").alias("first"), "sha", F.col("first").alias("same_as")).hint("merge"), ["first", "sha"])
         .select("doc", "sha", "same_as")
         .distinct()
     )
@@ -170,8 +170,8 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     prints = stage(fingerprints(docs, key, text), "fingerprints")
     classes = stage(equal_classes(docs, prints, key, text), "equal-classes")
     kept = classes.groupBy("same_as", "sha").agg(F.max("doc").alias("keep"), F.count("*").alias("size"))
-    found = classes.join(kept, ["same_as", "sha"]).select("doc", "sha", "keep", "size")
-    return prints.join(found, ["doc", "sha"], "left").select(
+    found = classes.join(kept.hint("merge"), ["same_as", "sha"]).select("doc", "sha", "keep", "size")
+    return prints.join(found.hint("merge"), ["doc", "sha"], "left").select(
         F.col("doc").alias(key),
         F.coalesce("keep", "doc").alias("keep_id"),
         F.coalesce("size", F.lit(1).cast("bigint")).alias("group_size"),

@@ -376,6 +376,13 @@ def test_class_model_beats_unigrams(spark, sf_dir):
     assert r["better"]
 
 
+def test_small_rows_of_exact_dedup_are_not_broadcast(docs, capsys):
+    """Each broadcast takes pages of the driver's memory, however small its table is."""
+    exact_dedup.exact_groups(docs).explain("simple")
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_exact_groups(docs, texts, empty):
     of = collections.defaultdict(list)
     for i, t in texts.items():
