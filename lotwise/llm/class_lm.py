@@ -31,6 +31,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType
+from pyspark.sql.types import DoubleType
 
 from lotwise.operators.staging import stage
 
@@ -70,11 +71,6 @@ def shape(word: bytes) -> int:
     return 4 if max(word) > 127 else 5
 
 
-@F.arrow_udf(IntegerType())
-def word_shape(words: pa.Array) -> pa.Array:
-    return pa.array((shape(w.as_py()) for w in words), pa.int32())
-
-
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter[bytes] = Counter()
 
@@ -92,25 +88,34 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, home = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(home, n, len(distinct)).astype(np.int64)
-
-
 class Sums:
-    """Counts by key, kept until there are too many keys."""
+    """Counts by key, kept until there are too many keys. New keys wait until they are as many as those counted."""
 
     def __init__(self):
         self.keys, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.more = 0
 
     def add(self, keys: np.ndarray) -> None:
-        new, m = np.unique(keys, return_counts=True)
-        self.keys, self.n = _merged(np.concatenate([self.keys, new]), np.concatenate([self.n, m]))
+        self.waiting.append(keys)
+        self.more += len(keys)
+        if self.more > max(FLUSH, len(self.keys)):
+            self._count()
+
+    def _count(self) -> None:
+        new, m = np.unique(np.concatenate([np.zeros(0, np.int64), *self.waiting]), return_counts=True)
+        self.waiting, self.more = [], 0
+        keys, n = np.concatenate([self.keys, new]), np.concatenate([self.n, m])
+        order = np.argsort(keys, kind="stable")  # a merge of two sorted runs
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else order
+        self.keys, self.n = keys[first], np.add.reduceat(n, first) if len(keys) else n
 
     def full(self) -> bool:
         return len(self.keys) > 4 * FLUSH
 
     def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        self._count()
         out = self.keys, self.n
         self.__init__()
         return out
@@ -146,19 +151,17 @@ def _number(shared) -> callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
-        known, end = vocabulary.numbers, vocabulary.end
+        known, last = vocabulary.numbers, np.int32(vocabulary.end).tobytes()
         row = TaskContext.get().partitionId() << 33
         for batch in _sliced(batches):
             numbered, rare = [], []
             for text in batch.column("text"):
                 words = tokens(text.as_py())
-                others = [w for w in words if w not in known]
-                if others:
-                    row_of = [known[w] if w in known else len(known) + shape(w) for w in words]
-                else:
-                    row_of = list(map(known.__getitem__, words))
-                row_of.append(end)
-                numbered.append(np.array(row_of, np.int32).tobytes())
+                row_of = np.fromiter(map(known.get, words, repeat(-1)), np.int32, len(words))
+                unknown = np.flatnonzero(row_of < 0)
+                others = [words[i] for i in unknown.tolist()]
+                row_of[unknown] = [len(known) + shape(w) for w in others]
+                numbered.append(row_of.tobytes() + last)
                 rare.append(others)
             rows = pa.array(np.arange(row, row + batch.num_rows), pa.int64())
             row += batch.num_rows
@@ -484,7 +487,7 @@ def train(
         F.coalesce(learn, F.lit(False)).alias("learn"),
         F.col(text).cast("string").alias("text"),
     )
-    counts = stage(word_counts(texts.where("learn")).withColumn("shape", word_shape("word")), "word-counts")
+    counts = stage(word_counts(texts.where("learn")), "word-counts")
     vocab, known_n = vocabulary(counts, class_words, known)
     shared = share(vocab)
     numbered = stage(texts.mapInArrow(_number(shared), NUMBERED), "numbered-texts")

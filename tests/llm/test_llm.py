@@ -357,6 +357,21 @@ def test_class_model(docs, empty, class_words, known):
         assert {r["n_known"] for r in class_lm.scores(numbered, model).collect()} == {0}
 
 
+def test_sums_sort_what_is_new_not_every_batch(monkeypatch):
+    monkeypatch.setattr(class_lm, "FLUSH", 1000)
+    calls, unique, rng = [], np.unique, np.random.default_rng(6)
+    monkeypatch.setattr(np, "unique", lambda *a, **b: calls.append(len(a[0])) or unique(*a, **b))
+    added, sums = [rng.integers(0, 5000, 50) for _ in range(400)], class_lm.Sums()
+    for keys in added:
+        sums.add(keys)
+    keys, n = sums.taken()
+    monkeypatch.undo()
+    want, m = np.unique(np.concatenate(added), return_counts=True)
+    assert (keys == want).all() and (n == m).all()
+    assert len(calls) < 20 and sum(calls) == 400 * 50
+    assert [len(x) for x in sums.taken()] == [0, 0]
+
+
 def test_words_join_the_classes_of_their_neighbours(spark):
     """Two alternating classes of words: a rare word between those of one is in the class of the other."""
     pattern = [["a0", "a1", "a2"], ["b0", "b1", "b2"]]
