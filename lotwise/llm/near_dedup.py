@@ -232,15 +232,34 @@ def homes(near: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def meetings(at_key: DataFrame) -> DataFrame:
+    """key, meeting: of keys with several components, one of those at which the same homes have the same. at_key: key, home, of."""
+    keys = at_key.groupBy("key").agg(
+        *[F.bit_xor(F.xxhash64(F.lit(i), "home", F.col("of").isNull(), "of")).alias(f"mark{i}") for i in range(2)],
+        F.count("*").alias("homes"),
+        (F.bool_or(F.col("of").isNull()) | (F.min("of") != F.max("of"))).alias("open"),
+    ).where("open")
+    marks = ["mark0", "mark1", "homes"]
+    firsts = keys.groupBy(*marks).agg(F.min("key").alias("meeting"))
+    return keys.join(firsts.hint("merge"), marks).select("key", "meeting")
+
+
 def needed_seats(found: DataFrame, home: DataFrame) -> DataFrame:
-    """low, high, node, root, home: the classes that two homes must compare, as they share a key across components."""
+    """low, high, node, root, home: the classes that two homes must compare, as they share a key across components.
+
+    Keys at which the same homes meet, with the same components, ask for the same pairs of homes. They are
+    one meeting, which a class attends once, however many of its keys lead there.
+    """
     held = stage(found.join(home.hint("merge"), "node"), "near-held")
     at_key = held.groupBy("key", "home").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    open_keys = at_key.groupBy("key").agg(F.min("least").alias("l"), F.max("most").alias("m")).where("l <> m")
-    at_key = at_key.join(open_keys.select("key").hint("merge"), "key")
-    other = at_key.select("key", *[F.col(c).alias(f"other_{c}") for c in ("home", "least", "most")])
-    pairs = at_key.join(other.hint("merge"), "key").where("least(least, other_least) <> greatest(most, other_most)")
-    seats = held.join(pairs.select("key", "home", "other_home").hint("merge"), ["key", "home"])
+    # the component of what a home has at a key; null if there are more
+    at_key = stage(at_key.select("key", "home", F.when(F.col("least") == F.col("most"), F.col("least")).alias("of")), "near-at-key")
+    meeting = stage(meetings(at_key), "near-meetings")
+    there = at_key.join(meeting.where("key = meeting").hint("merge"), "key").select("meeting", "home", "of")
+    other = there.select("meeting", *[F.col(c).alias(f"other_{c}") for c in ("home", "of")])
+    pairs = there.join(other.hint("merge"), "meeting").where("of is null or other_of is null or of <> other_of")
+    attends = held.join(meeting.hint("merge"), "key").select("meeting", "home", "node", "root").distinct()
+    seats = attends.join(pairs.select("meeting", "home", "other_home").hint("merge"), ["meeting", "home"])
     return seats.select(
         F.least("home", "other_home").alias("low"), F.greatest("home", "other_home").alias("high"), "node", "root", "home"
     ).distinct()

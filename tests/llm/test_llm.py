@@ -214,6 +214,32 @@ def test_near_groups_of_a_repeated_id(spark):
     assert sorted((r.doc_id, r.component_id) for r in found) == [(3, 3), (5, 3), (5, 3), (7, 3), (9, 9)]
 
 
+def test_keys_of_the_same_homes_are_one_meeting(spark):
+    """Forty keys that lead all classes of two homes together ask for one pair of homes, once."""
+    rows = [(key, home, None) for key in range(40) for home in (1, 2)]
+    rows += [(50, 1, 7), (50, 2, 7), (51, 1, 7), (51, 2, 8), (52, 1, 7), (52, 2, 8), (53, 1, 8), (53, 2, 7), (54, 3, None)]
+    got = near_dedup.meetings(spark.createDataFrame(rows, "key bigint, home bigint, of bigint")).collect()
+    assert dict(map(tuple, got)) == {key: 0 for key in range(40)} | {51: 51, 52: 51, 53: 53, 54: 54}
+
+
+def test_seats_are_those_of_every_pair_that_shares_a_key(spark):
+    rng = random.Random(4)
+    home, root = ({n: rng.randrange(k) for n in range(60)} for k in (6, 20))
+    found = sorted({(rng.randrange(25), rng.randrange(60)) for _ in range(180)})
+    want = set()
+    for key, a in found:
+        for other, b in found:
+            if key == other and root[a] != root[b]:
+                low, high = sorted((home[a], home[b]))
+                at = [n for k, n in found if k == key and home[n] in (low, high)]
+                want |= {(low, high, n, root[n], home[n]) for n in at}
+    got = near_dedup.needed_seats(
+        spark.createDataFrame([(k, n, root[n]) for k, n in found], "key bigint, node bigint, root bigint"),
+        spark.createDataFrame(list(home.items()), "node bigint, home bigint"),
+    ).collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(20)]
